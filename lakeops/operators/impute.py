@@ -125,11 +125,13 @@ def key_means(
 def impute_key_mean(
     df: DataFrame, fields: Sequence[str], key: str, sum_type: str | None = None
 ) -> DataFrame:
-    means = key_means(df, fields, key, sum_type).filter(F.col("__key").isNotNull())
+    means = key_means(df, fields, key, sum_type)
     gap = _with_gap(fields) & F.col(key).isNotNull()
 
     def fill(rows: DataFrame) -> DataFrame:
-        joined = rows.join(means, F.col(key) == F.col("__key"), "left")
+        # Null-safe only so that no null check of the key, which may be costly to
+        # compute, is pushed below the aggregate: no row with a null key gets here.
+        joined = rows.join(means, F.col(key).eqNullSafe(F.col("__key")), "left")
         return joined.withColumns(
             {f: F.coalesce(f, f"__mean_{i}") for i, f in enumerate(fields)}
         )

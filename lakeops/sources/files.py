@@ -7,6 +7,8 @@ texts, so a bad field never fails a file.
 
 import json
 from collections.abc import Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -98,57 +100,97 @@ def resolve_schema(
     return schema
 
 
+_COMPLEX = (T.ArrayType, T.MapType, T.StructType)
+_TIMES = (T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
 def _typed(raw: Column, dtype: T.DataType) -> Column:
     """A text as the given type, null where it does not fit."""
     if isinstance(dtype, T.StringType):
         return raw
-    if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
-        return F.from_json(raw, dtype)
-    return raw.try_cast(dtype)
-
-
-def _misfits(raw: Mapping[str, Column], schema: T.StructType) -> Column:
-    """Map of the raw texts that are there but do not fit their column."""
-    entries = [
-        F.struct(
-            F.lit(f.name).alias("key"),
-            F.when(_typed(raw[f.name], f.dataType).isNull(), raw[f.name]).alias("value"),
-        )
-        for f in schema
-        if not isinstance(f.dataType, T.StringType)
-    ]
-    if not entries:
-        return F.lit(None).cast("map<string,string>")
-    return F.map_from_entries(F.filter(F.array(*entries), lambda e: e["value"].isNotNull()))
+    return F.from_json(raw, dtype) if isinstance(dtype, _COMPLEX) else raw.try_cast(dtype)
 
 
-def _as_rescued(fields: Column) -> Column:
-    return F.when(F.size(fields) > 0, F.to_json(fields))
+def _present(entries: Mapping[str, Column]) -> Column:
+    """Map of the texts that are not null."""
+    pairs = [F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in entries.items()]
+    if not pairs:
+        return F.create_map().cast("map<string,string>")
+    return F.map_from_entries(F.filter(F.array(*pairs), lambda e: e["value"].isNotNull()))
+
+
+def _any(conditions: list[Column]) -> Column:
+    return reduce(or_, conditions, F.lit(False))
 
 
 def rescue_json(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
-    """Parse a column of JSON texts; replaces it by the fields and `_rescued_data`."""
-    raw = F.from_json(value, "map<string,string>")
-    df = df.withColumn("__raw", raw)
-    raw_fields = {f.name: F.col("__raw").getItem(f.name) for f in schema}
+    """Parse a column of JSON texts; replaces it by the fields and `_rescued_data`.
+
+    A text that fits is parsed once, by its types. Only one that does not, or that has
+    fields the schema does not know, is parsed again as a map of texts.
+    """
+    line = F.col(value)
     known = F.array(*[F.lit(f.name) for f in schema])
-    unknown = F.map_filter("__raw", lambda k, v: ~F.array_contains(known, k) & v.isNotNull())
-    bad = F.coalesce(_misfits(raw_fields, schema), F.create_map().cast("map<string,string>"))
-    rescued = F.when(
-        F.col("__raw").isNull(),
-        F.to_json(F.create_map(F.lit(BAD_LINE), F.col(value))),
-    ).otherwise(_as_rescued(F.map_concat(unknown, bad)))
-    others = [c for c in df.columns if c not in (value, "__raw")]
-    return df.select(
-        *[_typed(raw_fields[f.name], f.dataType).alias(f.name) for f in schema],
-        F.when(F.col(value).isNotNull(), rescued).alias(RESCUED),
+    with_bad = T.StructType([*schema.fields, T.StructField(BAD_LINE, T.StringType())])
+    parsed = df.withColumn(
+        "__typed", F.from_json(line, with_bad, {"columnNameOfCorruptRecord": BAD_LINE})
+    )
+    bad = F.col("__typed").getField(BAD_LINE).isNotNull()
+    unknown = F.size(F.array_except(F.json_object_keys(line), known)) > 0
+    texts = parsed.withColumn(
+        "__texts", F.when(bad | unknown, F.from_json(line, "map<string,string>"))
+    )
+
+    text = {f.name: F.col("__texts").getItem(f.name) for f in schema}
+    refitted = {f.name: _typed(text[f.name], f.dataType) for f in schema}
+    new = F.map_filter("__texts", lambda k, v: ~F.array_contains(known, k) & v.isNotNull())
+    misfits = _present(
+        {
+            f.name: F.when(refitted[f.name].isNull(), text[f.name])
+            for f in schema
+            if not isinstance(f.dataType, T.StringType)
+        }
+    )
+    kept = F.map_concat(new, misfits)
+    rescued = (
+        F.when(F.col("__texts").isNotNull(), F.when(F.size(kept) > 0, F.to_json(kept)))
+        .when(bad, F.to_json(F.create_map(F.lit(BAD_LINE), line)))
+    )
+    others = [c for c in df.columns if c != value]
+    return texts.select(
+        *[
+            F.when(bad, refitted[f.name])
+            .otherwise(F.col("__typed").getField(f.name))
+            .alias(f.name)
+            for f in schema
+        ],
+        rescued.alias(RESCUED),
         *others,
     )
 
 
-def rescue_texts(
-    df: DataFrame, schema: T.StructType, bad_line: str | None = None
-) -> DataFrame:
+def _same_type(df: DataFrame, f: T.StructField) -> bool:
+    return df.schema[f.name].dataType.simpleString() == f.dataType.simpleString()
+
+
+def _cast(df: DataFrame, f: T.StructField) -> Column:
+    """A stored column as the type of the schema, null where it does not fit."""
+    column, stored = F.col(f.name), df.schema[f.name].dataType
+    if _same_type(df, f):
+        return column
+    alike = any(
+        isinstance(stored, family) and isinstance(f.dataType, family)
+        for family in (T.NumericType, _TIMES)
+    )
+    return column.try_cast(f.dataType) if alike else _typed(_text(df, f.name), f.dataType)
+
+
+def _text(df: DataFrame, name: str) -> Column:
+    complex_type = isinstance(df.schema[name].dataType, _COMPLEX)
+    return F.to_json(name) if complex_type else F.col(name).cast("string")
+
+
+def rescue_texts(df: DataFrame, schema: T.StructType, bad_line: str | None = None) -> DataFrame:
     """Cast columns to the schema; adds `_rescued_data`.
 
     Columns that the schema does not know are rescued whole. `bad_line` names a column
@@ -157,33 +199,26 @@ def rescue_texts(
     known = {f.name for f in schema}
     meta = [c for c in df.columns if c in METADATA]
     extra = [c for c in df.columns if c not in {*known, *meta, bad_line}]
-    types = dict(df.dtypes)
-
-    def text(c: str) -> Column:
-        simple = not types[c].startswith(("array", "map", "struct"))
-        return F.col(c).cast("string") if simple else F.to_json(c)
-
-    same = {f.name for f in schema if types.get(f.name) == f.dataType.simpleString()}
-    checked = T.StructType([f for f in schema if f.name in types and f.name not in same])
-    kept = {c: text(c) for c in extra}
+    stored = [f for f in schema if f.name in df.columns]
+
+    misfit = {
+        f.name: F.col(f.name).isNotNull() & _cast(df, f).isNull()
+        for f in stored
+        if not _same_type(df, f)
+    }
+    kept = {name: F.when(m, _text(df, name)) for name, m in misfit.items()}
+    kept |= {c: _text(df, c) for c in extra}
     if bad_line:
         kept[BAD_LINE] = F.col(bad_line)
-    parts = [_misfits({f.name: text(f.name) for f in checked}, checked)]
-    if kept:
-        entries = [F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in kept.items()]
-        present = F.filter(F.array(*entries), lambda e: e["value"].isNotNull())
-        parts.append(F.map_from_entries(present))
-    empty = F.create_map().cast("map<string,string>")
-    rescued = F.map_concat(*[F.coalesce(p, empty) for p in parts])
-
-    def column(f: T.StructField) -> Column:
-        if f.name not in types:
-            return F.lit(None).cast(f.dataType).alias(f.name)
-        if f.name in same:
-            return F.col(f.name)
-        return _typed(text(f.name), f.dataType).alias(f.name)
-
-    return df.select(*[column(f) for f in schema], _as_rescued(rescued).alias(RESCUED), *meta)
+    aside = [F.col(c).isNotNull() for c in (*extra, *([bad_line] if bad_line else []))]
+    return df.select(
+        *[
+            (_cast(df, f) if f in stored else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in schema
+        ],
+        F.when(_any([*misfit.values(), *aside]), F.to_json(_present(kept))).alias(RESCUED),
+        *meta,
+    )
 
 
 def _with_file(df: DataFrame) -> DataFrame:
