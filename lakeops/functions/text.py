@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # The text formats that the data producers use.
 PRODUCT_ID = r"([a-zA-Z]+_\d+)"
-PRODUCT_SIGNS = ",-"
+PRODUCT_SIGNS = "[,-]"
 POSTAL_CODE = r"\b(\d{5})\b"
 
 
@@ -21,7 +21,7 @@ def product_parts(text: Column) -> tuple[Column, Column]:
     Every comma and hyphen goes, also inside the name. A text without an id
     gives an empty id, not null.
     """
-    plain = F.translate(text, PRODUCT_SIGNS, "")
+    plain = F.regexp_replace(text, PRODUCT_SIGNS, "")
     name = F.trim(F.regexp_replace(plain, PRODUCT_ID, ""))
     return F.upper(F.regexp_extract(plain, PRODUCT_ID, 1)), F.upper(name)
 
@@ -37,7 +37,7 @@ def split_address(df: DataFrame, column: str = "address", output: str = "address
 
     The first 5-digit word becomes `postal_code`; all of them leave the text.
     """
-    plain = F.translate(F.col(column), ",", "")
+    plain = F.replace(F.col(column), F.lit(","), F.lit(""))
     return df.withColumns(
         {
             "postal_code": F.regexp_extract(plain, POSTAL_CODE, 1).try_cast("int"),

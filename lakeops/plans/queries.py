@@ -286,7 +286,7 @@ def _ingested(spark: SparkSession, rows: DataFrame, fmt: str, hints: str, **opti
         stream = files.read_file_stream(
             spark, landing, fmt, f"{folder}/schema", options, hints
         )
-        drain(stream, bronze, f"{folder}/checkpoint", f"ingest {fmt}")
+        drain(stream, bronze, f"{folder}/checkpoint", folder)
     df = spark.read.parquet(bronze)
     return _plain_times(
         df.withColumns(
@@ -327,7 +327,7 @@ def ingest_binary_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream = files.read_file_stream(
             spark, f"{folder}/landing", "binaryFile", "", {"pathGlobFilter": "*.txt"}
         )
-        drain(stream, f"{folder}/bronze", f"{folder}/checkpoint", "ingest binary")
+        drain(stream, f"{folder}/bronze", f"{folder}/checkpoint", folder)
     return spark.read.parquet(f"{folder}/bronze").agg(
         F.sum("length").alias("total_bytes"),
         F.sum(F.length("content")).alias("content_bytes"),
