@@ -95,16 +95,22 @@ def impute_window(
 ) -> DataFrame:
     """Fill the gaps of all `fields` that share a frame in one pass.
 
-    A field stays null where its frame holds no value.
+    A field stays null where its frame holds no value. With `sum_type`, a mean that ends
+    in a five is rounded as the decimal it is, not as the double next to it.
     """
     if nan:
         df = nan_to_null(df, fields)
     gap = _with_gap(fields)
     means = trailing_means(df, fields, hours, key, timestamp, sum_type, only_where=gap)
 
+    def rounded(mean: str) -> Column:
+        if sum_type is None:
+            return F.round(mean, digits)
+        return F.round(F.col(mean).cast("decimal(38,9)"), digits).cast("double")
+
     def fill(rows: DataFrame) -> DataFrame:
         return join_means(rows, means, key, timestamp).withColumns(
-            {f: F.coalesce(f, F.round(f"__mean_{i}", digits)) for i, f in enumerate(fields)}
+            {f: F.coalesce(f, rounded(f"__mean_{i}")) for i, f in enumerate(fields)}
         )
 
     return _fill_gaps(df, gap, fill, fields)
