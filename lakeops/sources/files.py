@@ -6,6 +6,7 @@ texts, so a bad field never fails a file.
 """
 
 import json
+import re
 from collections.abc import Mapping
 from functools import reduce
 from operator import or_
@@ -226,20 +227,49 @@ def _with_file(df: DataFrame) -> DataFrame:
     return df.withColumns(dict(zip(METADATA, values)))
 
 
+def _drop_headers(lines: DataFrame, names: list[str]) -> DataFrame:
+    """Leave out header lines; fail on one that names the columns in another order.
+
+    A line is a header if every field it has is the name of its column. It is one in
+    another order if at least half of the column names, and two, stand elsewhere in it.
+    """
+    lower = [n.lower() for n in names]
+    named = [n for n in lower if not re.fullmatch(r"_c\d+", n)]
+    texts = [F.lower(F.col(n)) for n in names]
+    in_order = ~_any([F.coalesce(t != n, F.lit(False)) for t, n in zip(texts, lower)])
+    is_empty = ~_any([t.isNotNull() for t in texts])
+    common = F.size(F.array_intersect(F.array(*texts), F.array(*[F.lit(n) for n in named])))
+    elsewhere = common >= max(2, (len(named) + 1) // 2)
+    problem = F.concat(F.lit("columns in another order than the schema: "), "_ingested_filename")
+    return lines.filter(
+        F.when(in_order, is_empty)
+        .when(elsewhere, F.raise_error(problem).cast("boolean"))
+        .otherwise(True)
+    )
+
+
 def stream_csv(
     spark: SparkSession, path: str, schema: T.StructType, options: Mapping[str, str]
 ) -> DataFrame:
-    """CSV lines by the position of their fields, as the header of the inferred schema has them."""
-    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-    lines = (
+    """CSV lines by the position of their fields, as the header of the inferred schema has them.
+
+    Spark drops header lines unread. They are read here, so that a file with its columns
+    in another order stops the stream instead of filling the wrong columns.
+    """
+    names = [f.name for f in schema]
+    texts = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    lines = _with_file(
         spark.readStream.format("csv")
         .options(**options)
+        .option("header", False)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", BAD_LINE)
         .schema(texts.add(BAD_LINE, T.StringType()))
         .load(path)
     )
-    return rescue_texts(_with_file(lines), schema, BAD_LINE)
+    if str(options.get("header", "false")).lower() == "true":
+        lines = _drop_headers(lines, names)
+    return rescue_texts(lines, schema, BAD_LINE)
 
 
 def stream_json(

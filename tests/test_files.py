@@ -2,6 +2,7 @@ import json
 import shutil
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import types as T
 
 from lakeops.sources import files
@@ -57,6 +58,30 @@ def test_csv_keeps_what_does_not_fit(spark, tmp_path, rows):
     assert json.loads(got[None]._rescued_data) == {"id": "a,b"} and got[None].price == 2.0
 
 
+def test_csv_header_with_more_or_fewer_columns(spark, tmp_path):
+    landing = Landing(spark, tmp_path, "csv", "price double", **CSV)
+    landing.put("a.csv", ",price,at\n0,1.5,x\n")
+    landing.ingest()
+    landing.put("b.csv", ",PRICE,at,new\n1,2.5,y,z\n")
+    landing.put("c.csv", ",price\n2,3.5\n")
+    got = {r._c0: r for r in landing.ingest().collect()}
+    assert {k: (r.price, r["at"]) for k, r in got.items()} == {
+        0: (1.5, "x"), 1: (2.5, "y"), 2: (3.5, None),
+    }
+    assert json.loads(got[1]._rescued_data) == {"_corrupt_record": "1,2.5,y,z"}
+
+
+def test_csv_header_in_another_order_stops_the_stream(spark, tmp_path):
+    landing = Landing(spark, tmp_path, "csv", "price double", **CSV)
+    landing.put("a.csv", "id,price,at\n0,1.5,x\n")
+    landing.ingest()
+    landing.put("b.csv", "id,at,price\n1,y,2.5\n")
+    with pytest.raises(StreamingQueryException, match="another order.*b.csv"):
+        landing.ingest()
+    landing.put("b.csv", "id,price,at\n1,2.5,y\n")
+    assert landing.ingest().count() == 2
+
+
 def test_json_keeps_what_does_not_fit(spark, rows):
     df = spark.createDataFrame(
         [
