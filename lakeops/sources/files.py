@@ -9,7 +9,7 @@ import json
 import re
 from collections.abc import Mapping
 from functools import reduce
-from operator import or_
+from operator import add, or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -238,8 +238,8 @@ def _drop_headers(lines: DataFrame, names: list[str]) -> DataFrame:
     texts = [F.lower(F.col(n)) for n in names]
     in_order = ~_any([F.coalesce(t != n, F.lit(False)) for t, n in zip(texts, lower)])
     is_empty = ~_any([t.isNotNull() for t in texts])
-    common = F.size(F.array_intersect(F.array(*texts), F.array(*[F.lit(n) for n in named])))
-    elsewhere = common >= max(2, (len(named) + 1) // 2)
+    names_in_line = reduce(add, [F.when(t.isin(named), 1).otherwise(0) for t in texts])
+    elsewhere = names_in_line >= max(2, (len(named) + 1) // 2)
     problem = F.concat(F.lit("columns in another order than the schema: "), "_ingested_filename")
     return lines.filter(
         F.when(in_order, is_empty)
