@@ -71,7 +71,8 @@ VIEWS = {
                upper(regexp_extract(plain, '([a-zA-Z]+_\\d+)', 1)) AS product_id,
                upper(trim(regexp_replace(plain, '([a-zA-Z]+_\\d+)', '', 'g'))) AS product_name,
                "timestamp", CAST(year("timestamp") AS INTEGER) AS year,
-               CAST(month("timestamp") AS INTEGER) AS month, CAST(day("timestamp") AS INTEGER) AS day
+               CAST(month("timestamp") AS INTEGER) AS month,
+               CAST(day("timestamp") AS INTEGER) AS day
         FROM (SELECT CAST(l_orderkey AS VARCHAR) AS order_id,
                      concat('t-', l_orderkey, '-', l_linenumber) AS transaction_id,
                      l_extendedprice AS sales_price,

@@ -131,7 +131,8 @@ def partition_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def uppercase(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = v.read(spark, sf_dir, "part").select("p_partkey", "p_name", F.lower("p_type").alias("p_type"))
+    parts = v.read(spark, sf_dir, "part")
+    df = parts.select("p_partkey", "p_name", F.lower("p_type").alias("p_type"))
     return text.uppercase(df, ["p_name", "p_type"])
 
 
@@ -363,7 +364,8 @@ def silver_online_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze_to_gold_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw sales cleaned and imputed, then their volume per category and day."""
     spec = SILVER["online_sales"]
-    silver = impute.impute(clean_online_sales(v.raw_sales(spark, sf_dir), F.lit(RUN_TIME)), spec.rules)
+    cleaned = clean_online_sales(v.raw_sales(spark, sf_dir), F.lit(RUN_TIME))
+    silver = impute.impute(cleaned, spec.rules)
     return metrics.sales_volume(silver, EXACT)
 
 

@@ -40,7 +40,9 @@ def _sold_lines(spark: SparkSession, sf_dir: str, part: bool, city: bool) -> Dat
     return df
 
 
-def sales(spark: SparkSession, sf_dir: str, category: bool = False, city: bool = False) -> DataFrame:
+def sales(
+    spark: SparkSession, sf_dir: str, category: bool = False, city: bool = False
+) -> DataFrame:
     df = _sold_lines(spark, sf_dir, part=category, city=city)
     return df.select(
         F.col("l_orderkey").alias("order_id"),
