@@ -170,28 +170,30 @@ def train(df: DataFrame, lang: str = "lang", text: str = "text") -> Model | None
     kept = df.sparkSession.createDataFrame(rows, "order int, context long, number int")
     # As many rows as contexts are kept.
     found = counts.join(F.broadcast(kept), ["order", "context"]).select("lang", "number", "byte", "n")
-    seen = np.zeros((len(languages), total, 256))
-    place = {name: i for i, name in enumerate(languages)}
-    table = found.toArrow().to_pydict()
-    seen[[place[x] for x in table["lang"]], table["number"], table["byte"]] = table["n"]
-    return Model(languages, maps, _bits(seen, parent, numbers))
+    table = found.toArrow()
+    langs, number, byte, n = (table.column(c).to_numpy() for c in ("lang", "number", "byte", "n"))
+    bits = np.empty((len(languages), total * 256), np.float32)
+    for i, name in enumerate(languages):
+        own = langs == name
+        seen = np.zeros((total, 256))
+        seen[number[own], byte[own]] = n[own]
+        bits[i] = _bits(seen, parent, numbers).reshape(-1)
+    return Model(languages, maps, bits)
 
 
 def _bits(seen: np.ndarray, parent: np.ndarray, numbers: list[dict[int, int]]) -> np.ndarray:
-    """Code lengths for every language, context and byte, shorter contexts first."""
-    n, u = seen.sum(axis=2), (seen > 0).sum(axis=2)
+    """Code lengths of every byte in every context of a language, shorter contexts first."""
+    total, kinds = seen.sum(axis=1), (seen > 0).sum(axis=1)
+    total = total + kinds
     bits = np.full(seen.shape, 8.0)
     with np.errstate(divide="ignore", invalid="ignore"):
         for own in numbers:
             at = np.array(sorted(own.values()), np.int64)
-            if not len(at):
-                continue
-            below = bits[:, parent[at]] if at[0] else bits[:, at]
-            total = (n + u)[:, at, None]
-            known = np.log2(total / seen[:, at])
-            escape = np.where(u[:, at] > 0, np.log2(total[..., 0] / u[:, at]), 0.0)[..., None]
-            bits[:, at] = np.where(seen[:, at] > 0, known, escape + below)
-    return bits.astype(np.float32).reshape(len(seen), -1)
+            escape = np.where(kinds[at] > 0, np.log2(total[at] / kinds[at]), 0.0)
+            known = np.log2(total[at, None] / seen[at])
+            below = bits[parent[at]]  # of the empty context 8 bits, as it is its own parent
+            bits[at] = np.where(seen[at] > 0, known, escape[:, None] + below)
+    return bits
 
 
 def predictions(
