@@ -1,3 +1,143 @@
-"""The operators that SQL can express, in SQL."""
+"""The operators that SQL can express, in SQL, written apart from the DataFrame code.
 
-ORACLE: dict[str, str] = {}
+Without SQL are sharding (random draws), BPE, page text, suffixes and components, which tests
+hold against plain versions, and language, which they hold against held-out labels.
+"""
+
+from lakeops.llm.licenses import PHRASES, TEMPLATES
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+_VISIBLE = r"'[^\x20\x09-\x0D]+'"
+
+
+def _values(pairs: dict[str, str]) -> str:
+    return ", ".join(f"('{label}', '{text}')" for label, text in pairs.items())
+
+
+_LICENSES = f"""
+WITH d AS (
+  SELECT doc_id, t, regexp_extract_all(t, {_WORDS}) AS ws
+  FROM (SELECT doc_id, {_LOWER} AS t FROM documents)
+), phrases AS (
+  SELECT label, string_split(phrase, ' ') AS pw
+  FROM (VALUES {_values(PHRASES)}) AS v(phrase, label)
+), places AS (
+  SELECT doc_id, label, unnest(list_filter(range(1, len(ws) + 1), lambda i: ws[i:i + len(pw) - 1] = pw)) - 1 AS place
+  FROM d, phrases
+), base AS (
+  SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
+  FROM places GROUP BY doc_id
+), templates AS (
+  SELECT label, list_distinct(regexp_extract_all(lower(text), {_WORDS})) AS tw
+  FROM (VALUES {_values(TEMPLATES)}) AS v(label, text)
+), lines AS (
+  SELECT doc_id, list_distinct(regexp_extract_all(line, {_WORDS})) AS lw
+  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)
+), contained AS (
+  SELECT doc_id, label, max(len(list_intersect(lw, tw))::DOUBLE / len(tw)) AS part
+  FROM lines, templates WHERE len(list_intersect(lw, tw)) * 100 >= 80 * len(tw)
+  GROUP BY doc_id, label
+), every AS (
+  SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM (SELECT doc_id, label FROM places UNION ALL SELECT doc_id, label FROM contained) GROUP BY doc_id
+), best AS (SELECT doc_id, max(part) AS part FROM contained GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(part, 0.0::DOUBLE) END AS score
+FROM d LEFT JOIN base USING (doc_id) LEFT JOIN every USING (doc_id) LEFT JOIN best USING (doc_id)"""
+
+_QUALITY = f"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), {_VISIBLE}) AS ws
+  FROM documents
+), grams AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 4], ' ') AS gram
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM d)
+), again AS (
+  SELECT doc_id, i FROM grams
+  WHERE (doc_id, gram) IN (SELECT (doc_id, gram) FROM grams GROUP BY doc_id, gram HAVING count(*) > 1)
+), covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM again)
+  GROUP BY doc_id
+), lines AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n
+  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, {_VISIBLE}) GROUP BY doc_id
+), counts AS (
+  SELECT doc_id, source, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+         coalesce(lines.n, 0)::BIGINT AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words
+  FROM d LEFT JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)
+), judged AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+         n_symbols > 0.3 * n_words OR word_chars < 2.0 * n_words OR word_chars > 20.0 * n_words AS odd
+  FROM counts
+), hosts AS (
+  SELECT source, count(*) AS n, count(*) FILTER (WHERE base_failed OR odd) AS failed
+  FROM judged GROUP BY source
+), prior AS (
+  SELECT avg(failed / n) AS m, var_pop(failed / n) AS v FROM hosts
+), shares AS (
+  SELECT source, CASE WHEN v > 0 THEN (failed + m * greatest(1, m * (1 - m) / v - 1))
+                                      / (n + greatest(1, m * (1 - m) / v - 1)) ELSE m END AS share
+  FROM hosts, prior
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       share > 0.5 AS host_rejected, NOT base_failed AND NOT share > 0.5 AS kept
+FROM judged JOIN shares ON judged.source IS NOT DISTINCT FROM shares.source"""
+
+_CONTROL = r"""'([<\[])(\\*)(\|(?:turn|text|end|image|audio|document)\|>|/?s>|/?INST\])'"""
+
+
+def _escaped(column: str) -> str:
+    return rf"length(regexp_replace({column}, {_CONTROL}, '\1\\\2\3', 'g'))"
+
+
+_CHAT = f"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+), told AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn) AS every,
+         coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '') AS loss,
+         sum(length('<|turn|><|text|><|end|>') + {_escaped("role")} + {_escaped("text")})::BIGINT AS formatted_chars
+  FROM rows GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(every) AS turns_sha256, length(loss)::BIGINT AS loss_chars,
+       sha256(loss) AS loss_sha256, formatted_chars, 0::BIGINT AS n_attachments, 0::BIGINT AS expanded_tokens
+FROM told"""
+
+_DECONTAMINATION = f"""
+WITH items AS (
+  SELECT item_id, ws, least(len(ws), 10) AS size
+  FROM (SELECT item_id, regexp_extract_all({_LOWER}, {_WORDS}) AS ws FROM benchmark) WHERE len(ws) > 0
+), windows AS (
+  SELECT DISTINCT item_id, size, array_to_string(ws[i:i + size - 1], ' ') AS w
+  FROM (SELECT item_id, ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM items)
+), docs AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, {_WORDS}) AS ws FROM documents
+), spans AS (
+  SELECT doc_id, size, i, array_to_string(ws[i:i + size - 1], ' ') AS w
+  FROM (SELECT doc_id, ws, size, unnest(range(1, len(ws) - size + 2)) AS i
+        FROM docs, (SELECT DISTINCT size FROM windows))
+), hits AS (SELECT doc_id, i, size, item_id FROM spans JOIN windows USING (size, w)
+), words AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM hits)
+  GROUP BY doc_id
+), ids AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN ids USING (doc_id)"""
+
+ORACLE: dict[str, str] = {
+    "op1_licenses": _LICENSES,
+    "op2_quality": _QUALITY,
+    "op4_chat": _CHAT,
+    "op5_decontamination": _DECONTAMINATION,
+}
