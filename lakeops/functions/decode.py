@@ -17,6 +17,23 @@ def strip_frame(value: Column) -> Column:
     return F.substring(value, F.lit(FRAME_BYTES + 1), F.length(value) - FRAME_BYTES)
 
 
+def schema_id(value: Column) -> Column:
+    """The id of the writer schema in the frame of a value, null if there is no whole frame."""
+    digits = F.conv(F.hex(F.substring(value, 2, FRAME_BYTES - 1)), 16, 10).cast("bigint")
+    framed = (F.length(value) >= FRAME_BYTES) & (F.hex(F.substring(value, 1, 1)) == "00")
+    return F.when(framed, digits)
+
+
+def split_by_schema(df: DataFrame, known: int, value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Records framed with the id `known`, and all others for a reject table.
+
+    A value of another schema, decoded by this one, would stop the stream or give wrong
+    numbers.
+    """
+    same = F.coalesce(schema_id(F.col(value)) == known, F.lit(False))
+    return df.filter(same), df.filter(~same)
+
+
 def _flatten(df: DataFrame, payload: Column) -> DataFrame:
     envelope = prefix_envelope(df)
     return (

@@ -1,8 +1,12 @@
 """Tables over a path: registration, append and overwrite."""
 
+import re
+import time
 from collections.abc import Sequence
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -21,6 +25,11 @@ def register_table(
         nullable = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
         spark.catalog.createTable(table, location, fmt, nullable)
         return
+    add_columns(spark, table, schema)
+
+
+def add_columns(spark: SparkSession, table: str, schema: T.StructType) -> None:
+    """Give a table the columns that it does not have."""
     there = {c.lower() for c in spark.table(table).columns}
     new = [f for f in schema if f.name.lower() not in there]
     if new:
@@ -28,28 +37,83 @@ def register_table(
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
 
 
+RUN_ID = "_run_id"
+
+
 def append_table(
     df: DataFrame,
     table: str,
     location: str,
+    run_id: str,
     partition_by: Sequence[str] = ("year", "month", "day"),
     fmt: str = "parquet",
 ) -> None:
-    """Append to a partitioned table.
+    """Add the rows of a run to a partitioned table; done again, it replaces what it had added.
+
+    The run is the first partition, so its rows have a folder of their own, which is replaced
+    as a whole. New columns of the rows are added to the table first, columns are matched by
+    name, and one that the rows do not have is null.
 
     Rows are brought together by partition, so that a run does not write one small file
     per task and day. It is a rebalance, not a repartition: a day with very many rows is
     split into tasks of the advisory size, and small days share one.
     """
-    (
-        df.hint("rebalance", *partition_by)
-        .write.format(fmt)
-        .mode("append")
-        .partitionBy(*partition_by)
-        .option("path", location)
-        .saveAsTable(table)
+    spark, parts = df.sparkSession, [RUN_ID, *partition_by]
+    rows = df.withColumn(RUN_ID, F.lit(run_id)).hint("rebalance", *partition_by)
+    if fmt == "delta":
+        (
+            rows.write.format(fmt).mode("overwrite").partitionBy(*parts).option("path", location)
+            .option("replaceWhere", f"{RUN_ID} = '{run_id}'").option("mergeSchema", True)
+            .saveAsTable(table)
+        )
+        return
+    if not spark.catalog.tableExists(table):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+        keys = ", ".join(f"`{c}`" for c in parts)
+        spark.sql(
+            f"CREATE TABLE {table} ({columns}) USING {fmt} PARTITIONED BY ({keys}) LOCATION '{location}'"
+        )
+    add_columns(spark, table, rows.schema)
+    there = {c.lower() for c in df.columns}
+    columns = [
+        f"`{f.name}`" if f.name.lower() in there else f"CAST(NULL AS {f.dataType.simpleString()})"
+        for f in spark.table(table).schema
+        if f.name != RUN_ID
+    ]
+    keys = ", ".join([f"`{RUN_ID}` = '{run_id}'", *[f"`{c}`" for c in partition_by]])
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {table} PARTITION ({keys}) SELECT {', '.join(columns)} FROM {{rows}}",
+        rows=rows.drop(RUN_ID),
     )
 
 
 def overwrite_table(df: DataFrame, table: str, location: str, fmt: str = "parquet") -> None:
-    df.write.format(fmt).mode("overwrite").option("path", location).saveAsTable(table)
+    """Replace the contents of a table.
+
+    Parquet goes to a new folder below `location`, and the table is switched to it when it is
+    whole, so a write that fails leaves the table as it was. The folder before the last one
+    is removed: who still reads the last one can go on.
+    """
+    if fmt == "delta":
+        df.write.format(fmt).mode("overwrite").option("path", location).saveAsTable(table)
+        return
+    spark = df.sparkSession
+    folder = f"{location.rstrip('/')}/v{time.time_ns()}-{uuid4().hex[:8]}"
+    df.write.format(fmt).save(folder)
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema])
+    if spark.catalog.tableExists(table) and spark.table(table).schema == schema:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+        spark.catalog.refreshTable(table)
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.catalog.createTable(table, folder, fmt, schema)
+    _keep_newest(spark, location, 2)
+
+
+def _keep_newest(spark: SparkSession, location: str, n: int) -> None:
+    """Remove all but the newest of the folders that `overwrite_table` made."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    made = sorted((s.getPath() for s in fs.listStatus(path)), key=lambda p: p.getName())
+    for old in [p for p in made if re.fullmatch(r"v\d+-[0-9a-f]{8}", p.getName())][:-n]:
+        fs.delete(old, True)

@@ -47,6 +47,7 @@ class Silver:
 class Gold:
     inputs: Sequence[str]
     aggregate: Callable[..., DataFrame]
+    sums: bool = True
 
 
 CSV = {"header": "true", "sep": ","}
@@ -172,7 +173,7 @@ SILVER: dict[str, Silver] = {
 GOLD: dict[str, Gold] = {
     "climate_impact": Gold(("online_sales", "climate"), metrics.climate_impact),
     "order_fulfillment_performance": Gold(
-        ("online_sales", "logistics"), metrics.order_fulfillment_performance
+        ("online_sales", "logistics"), metrics.order_fulfillment_performance, sums=False
     ),
     "sales_volume": Gold(("online_sales",), metrics.sales_volume),
 }

@@ -16,7 +16,7 @@ from lakeops.sources.files import read_file_stream
 from lakeops.sources.kafka import read_kafka_stream
 from lakeops.sources.tables import read_table
 from lakeops.streaming.ingest import drain
-from lakeops.streaming.state import StateTable, hand_over
+from lakeops.streaming.state import Run, StateTable, hand_over
 
 
 def _lookup(specs: Mapping[str, Any], name: str, layer: str) -> Any:
@@ -30,6 +30,8 @@ class Lake:
     """Where the layers are. Paths must be visible to every executor.
 
     `prefix` stands before the names of the catalog schemas `bronze`, `silver`, `gold`.
+    `sum_type` names a decimal type to sum in, so that tables do not depend on the order in
+    which rows arrive. Days and hours are those of UTC: the session is set to that zone.
     """
 
     spark: SparkSession
@@ -37,6 +39,10 @@ class Lake:
     root: str
     fmt: str = "parquet"
     prefix: str = ""
+    sum_type: str | None = None
+
+    def __post_init__(self) -> None:
+        self.spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     def table(self, layer: str, name: str) -> str:
         return f"{self.prefix}{layer}.{name}"
@@ -88,20 +94,20 @@ class Lake:
     def process(self, dataset: str, run_ts: dt.datetime | None = None) -> bool:
         """Bronze to silver: the rows ingested since the last run, cleaned and imputed."""
         spec = _lookup(SILVER, dataset, "silver")
-        run_time = F.lit(run_ts or dt.datetime.now(dt.timezone.utc))
         sink = self.table("silver", dataset)
         self._create_schema("silver")
         state = StateTable(
-            self.spark, self.table("silver", "pipeline_state"), f"{self.root}/silver/pipeline_state"
+            self.spark,
+            self.table("silver", f"{dataset}_state"),
+            f"{self.root}/silver/pipeline_state/{dataset}",
         )
-        state.create()
 
-        def write(rows: DataFrame) -> None:
-            silver = impute(spec.clean(rows, run_time), spec.rules)
+        def write(rows: DataFrame, run: Run) -> None:
+            silver = impute(spec.clean(rows, F.lit(run.time)), spec.rules, sum_type=self.sum_type)
             path = f"{self.root}/silver/{spec.datasource}/{dataset}"
-            append_table(silver, sink, path, fmt=self.fmt)
+            append_table(silver, sink, path, run.run_id, fmt=self.fmt)
 
-        return hand_over(state, dataset, self.table("bronze", dataset), sink, write)
+        return hand_over(state, self.table("bronze", dataset), write, run_ts)
 
     def aggregate(self, name: str) -> None:
         """Silver to gold: the whole table anew."""
@@ -109,4 +115,5 @@ class Lake:
         self._create_schema("gold")
         inputs = [read_table(self.spark, self.table("silver", t)) for t in spec.inputs]
         path = f"{self.root}/gold/{name}"
-        overwrite_table(spec.aggregate(*inputs), self.table("gold", name), path, self.fmt)
+        more = {"sum_type": self.sum_type} if self.sum_type and spec.sums else {}
+        overwrite_table(spec.aggregate(*inputs, **more), self.table("gold", name), path, self.fmt)

@@ -1,15 +1,15 @@
 """Incremental file sources: CSV, JSON lines, Parquet and binary files.
 
-All are file streams; the checkpoint of the query that reads them records the files
-seen. Data that does not fit the schema is kept in `_rescued_data` as a JSON object of
-texts, so a bad field never fails a file.
+All are file streams over a folder and the folders in it; the checkpoint of the query that
+reads them records the files seen. Data that does not fit the schema is kept in
+`_rescued_data` as a JSON object of texts, so a bad field never fails a file.
 """
 
 import json
 import re
 from collections.abc import Mapping
 from functools import reduce
-from operator import add, or_
+from operator import add, and_, or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,35 +23,27 @@ METADATA = ("_ingested_filename", "_ingestion_time")
 BINARY_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def newest_files(spark: SparkSession, path: str, limit: int) -> list[str]:
-    """Names of at most `limit` files under a folder, newest first; contents stay unread."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(path)
-        .select("path", "modificationTime")
-        .orderBy(F.desc("modificationTime"), "path")
-        .limit(limit)
-    )
-    return [r.path for r in files.collect()]
+def _folder(reader, options: Mapping[str, str] | None):
+    """A reader or a stream reader of all files below a folder."""
+    return reader.options(**(options or {})).option("recursiveFileLookup", True)
 
 
 def infer_schema(
-    spark: SparkSession,
-    path: str,
-    fmt: str,
-    options: Mapping[str, str] | None = None,
-    sample_files: int = 1000,
+    spark: SparkSession, path: str, fmt: str, options: Mapping[str, str] | None = None
 ) -> T.StructType:
-    """Schema of a folder: of its newest files, or for Parquet of the footers of all."""
-    reader = spark.read.format(fmt).options(**(options or {}))
-    if fmt == "parquet":
-        return reader.option("mergeSchema", True).load(path).schema
-    files = newest_files(spark, path, sample_files)
-    if not files:
+    """Schema of a folder, in one distributed pass over all files that its stream will read."""
+    reader = _folder(spark.read.format(fmt), options)
+    option = "mergeSchema" if fmt == "parquet" else "inferSchema"
+    try:
+        schema = reader.option(option, True).load(path).schema
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        schema = T.StructType()
+    fields = [f for f in schema if f.name != BAD_LINE]
+    if not fields:
         raise ValueError(f"no files to infer a schema from in {path}")
-    schema = reader.option("inferSchema", True).load(files).schema
-    return T.StructType([f for f in schema if f.name != BAD_LINE])
+    return T.StructType(fields)
 
 
 def with_hints(schema: T.StructType, hints: str | None) -> T.StructType:
@@ -105,11 +97,60 @@ _COMPLEX = (T.ArrayType, T.MapType, T.StructType)
 _TIMES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
-def _typed(raw: Column, dtype: T.DataType) -> Column:
+# Options of the readers by which texts become dates and times.
+FORMATS = ("dateFormat", "timestampFormat", "timestampNTZFormat", "locale", "timeZone")
+
+
+def _formats(options: Mapping[str, str] | None) -> dict[str, str]:
+    wanted = {f.lower(): f for f in FORMATS}
+    return {wanted[k.lower()]: v for k, v in (options or {}).items() if k.lower() in wanted}
+
+
+def _typed(raw: Column, dtype: T.DataType, formats: Mapping[str, str] | None = None) -> Column:
     """A text as the given type, null where it does not fit."""
+    formats = formats or {}
     if isinstance(dtype, T.StringType):
         return raw
-    return F.from_json(raw, dtype) if isinstance(dtype, _COMPLEX) else raw.try_cast(dtype)
+    if isinstance(dtype, _COMPLEX):
+        return F.from_json(raw, dtype, dict(formats))
+    if isinstance(dtype, T.DateType) and "dateFormat" in formats:
+        return F.try_to_timestamp(raw, F.lit(formats["dateFormat"])).cast(dtype)
+    if isinstance(dtype, T.TimestampType) and "timestampFormat" in formats:
+        return F.try_to_timestamp(raw, F.lit(formats["timestampFormat"]))
+    if isinstance(dtype, T.TimestampNTZType) and "timestampNTZFormat" in formats:
+        return F.try_to_timestamp(raw, F.lit(formats["timestampNTZFormat"])).cast(dtype)
+    return raw.try_cast(dtype)
+
+
+def _has_fields(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.ArrayType):
+        return _has_fields(dtype.elementType)
+    if isinstance(dtype, T.MapType):
+        return _has_fields(dtype.valueType)
+    return isinstance(dtype, T.StructType)
+
+
+def _fits(raw: Column, dtype: T.DataType, formats: Mapping[str, str]) -> Column:
+    """Whether a text holds nothing but what the type has a place for, at any depth."""
+
+    def each(items: Column, inner: T.DataType) -> Column:
+        every = F.forall(items, lambda x: x.isNull() | _fits(x, inner, formats))
+        return items.isNotNull() & every
+
+    if isinstance(dtype, T.ArrayType):
+        return each(F.from_json(raw, "array<string>"), dtype.elementType)
+    texts = F.from_json(raw, "map<string,string>")
+    if isinstance(dtype, T.MapType):
+        return each(F.map_values(texts), dtype.valueType)
+    if isinstance(dtype, T.StructType):
+        known = F.array(*[F.lit(f.name) for f in dtype])
+        inside = [
+            texts.getItem(f.name).isNull() | _fits(texts.getItem(f.name), f.dataType, formats)
+            for f in dtype
+        ]
+        no_more = F.size(F.array_except(F.map_keys(texts), known)) == 0
+        return F.coalesce(reduce(and_, inside, no_more), F.lit(False))
+    return F.coalesce(_typed(raw, dtype, formats).isNotNull(), F.lit(False))
 
 
 def _present(entries: Mapping[str, Column]) -> Column:
@@ -124,41 +165,56 @@ def _any(conditions: list[Column]) -> Column:
     return reduce(or_, conditions, F.lit(False))
 
 
-def rescue_json(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
+def rescue_json(
+    df: DataFrame,
+    schema: T.StructType,
+    value: str = "value",
+    options: Mapping[str, str] | None = None,
+) -> DataFrame:
     """Parse a column of JSON texts; replaces it by the fields and `_rescued_data`.
 
-    A text that fits is parsed once, by its types. Only one that does not, or that has
-    fields the schema does not know, is parsed again as a map of texts.
+    A text that fits is parsed by its types, and its keys are looked over. Only one that does
+    not, that has fields the schema does not know, or that has nested fields, is parsed again
+    as a map of texts. A nested field that fits in part keeps that part, and its whole text is
+    rescued.
     """
-    line = F.col(value)
+    line, formats = F.col(value), _formats(options)
     known = F.array(*[F.lit(f.name) for f in schema])
     with_bad = T.StructType([*schema.fields, T.StructField(BAD_LINE, T.StringType())])
     parsed = df.withColumn(
-        "__typed", F.from_json(line, with_bad, {"columnNameOfCorruptRecord": BAD_LINE})
+        "__typed", F.from_json(line, with_bad, {**formats, "columnNameOfCorruptRecord": BAD_LINE})
     )
     bad = F.col("__typed").getField(BAD_LINE).isNotNull()
     unknown = F.size(F.array_except(F.json_object_keys(line), known)) > 0
+    nested = _any([F.col("__typed").getField(f.name).isNotNull() for f in schema if _has_fields(f.dataType)])
     texts = parsed.withColumn(
-        "__texts", F.when(bad | unknown, F.from_json(line, "map<string,string>"))
+        "__texts", F.when(bad | unknown | nested, F.from_json(line, "map<string,string>"))
     )
 
     text = {f.name: F.col("__texts").getItem(f.name) for f in schema}
-    refitted = {f.name: _typed(text[f.name], f.dataType) for f in schema}
+    refitted = {f.name: _typed(text[f.name], f.dataType, formats) for f in schema}
     new = F.map_filter("__texts", lambda k, v: ~F.array_contains(known, k) & v.isNotNull())
+
+    def misfit(f: T.StructField) -> Column:
+        if _has_fields(f.dataType):
+            return ~_fits(text[f.name], f.dataType, formats)
+        return refitted[f.name].isNull()
+
     misfits = _present(
         {
-            f.name: F.when(refitted[f.name].isNull(), text[f.name])
+            f.name: F.when(text[f.name].isNotNull() & misfit(f), text[f.name])
             for f in schema
             if not isinstance(f.dataType, T.StringType)
         }
     )
-    kept = F.map_concat(new, misfits)
+    # A column of its own: it is used twice below and costly to build.
+    kept = texts.withColumn("__kept", F.when(F.col("__texts").isNotNull(), F.map_concat(new, misfits)))
     rescued = (
-        F.when(F.col("__texts").isNotNull(), F.when(F.size(kept) > 0, F.to_json(kept)))
+        F.when(F.col("__texts").isNotNull(), F.when(F.size("__kept") > 0, F.to_json("__kept")))
         .when(bad, F.to_json(F.create_map(F.lit(BAD_LINE), line)))
     )
     others = [c for c in df.columns if c != value]
-    return texts.select(
+    return kept.select(
         *[
             F.when(bad, refitted[f.name])
             .otherwise(F.col("__typed").getField(f.name))
@@ -174,7 +230,7 @@ def _same_type(df: DataFrame, f: T.StructField) -> bool:
     return df.schema[f.name].dataType.simpleString() == f.dataType.simpleString()
 
 
-def _cast(df: DataFrame, f: T.StructField) -> Column:
+def _cast(df: DataFrame, f: T.StructField, formats: Mapping[str, str]) -> Column:
     """A stored column as the type of the schema, null where it does not fit."""
     column, stored = F.col(f.name), df.schema[f.name].dataType
     if _same_type(df, f):
@@ -183,7 +239,7 @@ def _cast(df: DataFrame, f: T.StructField) -> Column:
         isinstance(stored, family) and isinstance(f.dataType, family)
         for family in (T.NumericType, _TIMES)
     )
-    return column.try_cast(f.dataType) if alike else _typed(_text(df, f.name), f.dataType)
+    return column.try_cast(f.dataType) if alike else _typed(_text(df, f.name), f.dataType, formats)
 
 
 def _text(df: DataFrame, name: str) -> Column:
@@ -191,19 +247,24 @@ def _text(df: DataFrame, name: str) -> Column:
     return F.to_json(name) if complex_type else F.col(name).cast("string")
 
 
-def rescue_texts(df: DataFrame, schema: T.StructType, bad_line: str | None = None) -> DataFrame:
+def rescue_texts(
+    df: DataFrame,
+    schema: T.StructType,
+    bad_line: str | None = None,
+    options: Mapping[str, str] | None = None,
+) -> DataFrame:
     """Cast columns to the schema; adds `_rescued_data`.
 
     Columns that the schema does not know are rescued whole. `bad_line` names a column
     with the text of lines that have more or fewer fields than the schema.
     """
-    known = {f.name for f in schema}
+    known, formats = {f.name for f in schema}, _formats(options)
     meta = [c for c in df.columns if c in METADATA]
     extra = [c for c in df.columns if c not in {*known, *meta, bad_line}]
     stored = [f for f in schema if f.name in df.columns]
 
     misfit = {
-        f.name: F.col(f.name).isNotNull() & _cast(df, f).isNull()
+        f.name: F.col(f.name).isNotNull() & _cast(df, f, formats).isNull()
         for f in stored
         if not _same_type(df, f)
     }
@@ -214,7 +275,7 @@ def rescue_texts(df: DataFrame, schema: T.StructType, bad_line: str | None = Non
     aside = [F.col(c).isNotNull() for c in (*extra, *([bad_line] if bad_line else []))]
     return df.select(
         *[
-            (_cast(df, f) if f in stored else F.lit(None).cast(f.dataType)).alias(f.name)
+            (_cast(df, f, formats) if f in stored else F.lit(None).cast(f.dataType)).alias(f.name)
             for f in schema
         ],
         F.when(_any([*misfit.values(), *aside]), F.to_json(_present(kept))).alias(RESCUED),
@@ -227,25 +288,55 @@ def _with_file(df: DataFrame) -> DataFrame:
     return df.withColumns(dict(zip(METADATA, values)))
 
 
-def _drop_headers(lines: DataFrame, names: list[str]) -> DataFrame:
-    """Leave out header lines; fail on one that names the columns in another order.
-
-    A line is a header if every field it has is the name of its column. It is one in
-    another order if at least half of the column names, and two, stand elsewhere in it.
-    """
+def _other_order(header: Column, names: list[str]) -> Column:
+    """Whether a header, an array of names, has the columns in another order: at least half of
+    the column names, and two, stand elsewhere in it."""
     lower = [n.lower() for n in names]
     named = [n for n in lower if not re.fullmatch(r"_c\d+", n)]
-    texts = [F.lower(F.col(n)) for n in names]
+    texts = [F.lower(F.get(header, F.lit(i))) for i in range(len(names))]
     in_order = ~_any([F.coalesce(t != n, F.lit(False)) for t, n in zip(texts, lower)])
-    is_empty = ~_any([t.isNotNull() for t in texts])
-    names_in_line = reduce(add, [F.when(t.isin(named), 1).otherwise(0) for t in texts])
-    elsewhere = names_in_line >= max(2, (len(named) + 1) // 2)
-    problem = F.concat(F.lit("columns in another order than the schema: "), "_ingested_filename")
-    return lines.filter(
-        F.when(in_order, is_empty)
-        .when(elsewhere, F.raise_error(problem).cast("boolean"))
-        .otherwise(True)
-    )
+    elsewhere = reduce(add, [F.when(t.isin(named), 1).otherwise(0) for t in texts])
+    return ~in_order & (elsewhere >= max(2, (len(named) + 1) // 2))
+
+
+def check_headers(
+    spark: SparkSession,
+    path: str,
+    names: list[str],
+    options: Mapping[str, str],
+    location: str,
+    at_once: int = 1000,
+) -> None:
+    """Stop if a file that came since the last check has its columns in another order.
+
+    The files checked are recorded at `location`. Of new files the first line is read, by its
+    place in the file, whatever it says.
+    """
+    glob = {k: v for k, v in options.items() if k.lower() == "pathglobfilter"}
+    there = _folder(spark.read.format("binaryFile"), glob).load(path)
+    there = there.filter("length > 0").select("path", "modificationTime")
+    try:
+        there = there.join(spark.read.parquet(location), ["path", "modificationTime"], "left_anti")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    csv = {k: v for k, v in options.items() if k.lower() in ("sep", "delimiter", "quote", "escape")}
+    width = ", ".join(f"c{i} string" for i in range(len(names)))
+    new = there.toLocalIterator(prefetchPartitions=True)
+    while some := [r for _, r in zip(range(at_once), new)]:
+        lines = spark.read.text([r.path for r in some]).select(
+            "value",
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("place"),
+        )
+        first = lines.filter("block = 0").groupBy("file").agg(F.min_by("value", "place").alias("line"))
+        fields = F.from_csv("line", width, csv)
+        header = F.array(*[fields.getField(f"c{i}") for i in range(len(names))])
+        wrong = first.filter(_other_order(header, names)).select("file").first()
+        if wrong:
+            raise ValueError(f"columns in another order than the schema: {wrong.file}")
+        spark.createDataFrame(some, there.schema).coalesce(1).write.mode("append").parquet(location)
 
 
 def stream_csv(
@@ -253,30 +344,25 @@ def stream_csv(
 ) -> DataFrame:
     """CSV lines by the position of their fields, as the header of the inferred schema has them.
 
-    Spark drops header lines unread. They are read here, so that a file with its columns
-    in another order stops the stream instead of filling the wrong columns.
+    With the option `header`, the first line of every file is dropped by its place, and
+    `check_headers` tells whether it has the columns in the order of the schema.
     """
-    names = [f.name for f in schema]
-    texts = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
     lines = _with_file(
-        spark.readStream.format("csv")
-        .options(**options)
-        .option("header", False)
+        _folder(spark.readStream.format("csv"), options)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", BAD_LINE)
         .schema(texts.add(BAD_LINE, T.StringType()))
         .load(path)
     )
-    if str(options.get("header", "false")).lower() == "true":
-        lines = _drop_headers(lines, names)
-    return rescue_texts(lines, schema, BAD_LINE)
+    return rescue_texts(lines, schema, BAD_LINE, options)
 
 
 def stream_json(
     spark: SparkSession, path: str, schema: T.StructType, options: Mapping[str, str]
 ) -> DataFrame:
-    lines = spark.readStream.format("text").options(**options).load(path)
-    return rescue_json(_with_file(lines.filter(F.trim("value") != "")), schema)
+    lines = _folder(spark.readStream.format("text"), options).load(path)
+    return rescue_json(_with_file(lines.filter(F.trim("value") != "")), schema, options=options)
 
 
 def stream_parquet(
@@ -290,16 +376,20 @@ def stream_parquet(
     The stored columns are read again from the footers on every run, so columns that
     came after the schema was kept are rescued too.
     """
-    stored = infer_schema(spark, path, "parquet")
-    rows = spark.readStream.format("parquet").options(**options).schema(stored).load(path)
-    return rescue_texts(_with_file(rows), schema)
+    stored = infer_schema(spark, path, "parquet", options)
+    rows = _folder(spark.readStream.format("parquet"), options).schema(stored).load(path)
+    return rescue_texts(_with_file(rows), schema, options=options)
 
 
 def stream_binary(spark: SparkSession, path: str, options: Mapping[str, str]) -> DataFrame:
-    files = spark.readStream.format("binaryFile").options(**options).schema(BINARY_SCHEMA)
+    files = _folder(spark.readStream.format("binaryFile"), options).schema(BINARY_SCHEMA)
     return _with_file(files.load(path))
 
 
+# Files in a micro-batch unless the options say otherwise.
+FILES_PER_BATCH = "10000"
+
+
 def read_file_stream(
     spark: SparkSession,
     path: str,
@@ -308,12 +398,16 @@ def read_file_stream(
     options: Mapping[str, str] | None = None,
     hints: str | None = None,
 ) -> DataFrame:
-    """A stream of the new files of a folder, with their name and the time of ingestion."""
-    options = dict(options or {})
+    """A stream of the new files of a folder and the folders in it, with their name and the time
+    of ingestion."""
+    options = {"maxFilesPerTrigger": FILES_PER_BATCH, **(options or {})}
     if fmt == "binaryFile":
         return stream_binary(spark, path, options)
     streams = {"csv": stream_csv, "json": stream_json, "parquet": stream_parquet}
     if fmt not in streams:
         raise ValueError(f"unknown file format: {fmt!r}")
     schema = resolve_schema(spark, path, fmt, schema_location, options, hints)
+    if fmt == "csv" and str(options.get("header", "false")).lower() == "true":
+        names = [f.name for f in schema]
+        check_headers(spark, path, names, options, f"{schema_location}_headers")
     return streams[fmt](spark, path, schema, options)

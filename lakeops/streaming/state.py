@@ -1,9 +1,12 @@
 """How far a table has been handed over to the next one, by ingestion time.
 
-The state is a table with two rows per run: one when the bounds are fixed, one when the
-rows are written. Marks are microseconds since 1970, so they do not depend on any zone.
+The state of a pipeline is a table of its own with one row: the bounds of its last run, and
+whether that run is done. It is replaced as a whole, so it does not grow, and pipelines do not
+meet in one folder. A pipeline has one writer at a time. Marks are microseconds since 1970, so
+they do not depend on any zone.
 """
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 from uuid import uuid4
@@ -11,13 +14,10 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.operators.sinks import register_table
+from lakeops.operators.sinks import overwrite_table
 from lakeops.sources.tables import high_mark, ingested_between, read_table
 
-STATE_SCHEMA = (
-    "pipeline string, run_id string, status string, low_mark timestamp, high_mark timestamp, "
-    "run_ts timestamp"
-)
+UTC = dt.timezone.utc
 
 
 def _mark(micros: int | None) -> Column:
@@ -25,77 +25,81 @@ def _mark(micros: int | None) -> Column:
 
 
 @dataclass(frozen=True)
-class StateTable:
-    spark: SparkSession
-    table: str
-    location: str
+class Run:
+    """Rows after `low` up to `high`, handed over at `at`."""
 
-    def create(self) -> None:
-        empty = self.spark.createDataFrame([], STATE_SCHEMA)
-        register_table(self.spark, self.table, self.location, empty.schema)
+    run_id: str
+    low: int | None
+    high: int
+    at: int
 
-    def _rows(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.table).filter(F.col("pipeline") == name)
+    @property
+    def time(self) -> dt.datetime:
+        return dt.datetime.fromtimestamp(0, UTC) + dt.timedelta(microseconds=self.at)
 
-    def last_mark(self, name: str) -> int | None:
-        done = self._rows(name).filter("status = 'done'")
-        return done.agg(F.max(F.unix_micros("high_mark")).alias("m")).first().m
 
-    def unfinished(self, name: str) -> tuple[str, int | None, int] | None:
-        """Run id and bounds of a run that was started and not recorded as done."""
-        runs = self._rows(name).groupBy("run_id").agg(
-            F.bool_or(F.col("status") == "done").alias("done"),
-            F.max("run_ts").alias("run_ts"),
-            F.max(F.unix_micros("low_mark")).alias("low"),
-            F.max(F.unix_micros("high_mark")).alias("high"),
-        )
-        row = runs.filter(~F.col("done")).orderBy(F.desc("run_ts")).first()
-        return (row.run_id, row.low, row.high) if row else None
+@dataclass(frozen=True)
+class StateTable:
+    """The state of one pipeline."""
+
+    spark: SparkSession
+    table: str
+    location: str
 
-    def record(self, name: str, run_id: str, status: str, low: int | None, high: int) -> None:
+    def _row(self):
+        if not self.spark.catalog.tableExists(self.table):
+            return None
+        micros = [F.unix_micros(c).alias(c) for c in ("low_mark", "high_mark", "run_ts")]
+        return read_table(self.spark, self.table).select("run_id", "status", *micros).first()
+
+    def last_mark(self) -> int | None:
+        """The mark up to which all rows are handed over."""
+        row = self._row()
+        if row is None:
+            return None
+        return row.high_mark if row.status == "done" else row.low_mark
+
+    def unfinished(self) -> Run | None:
+        """A run that was started and not recorded as done."""
+        row = self._row()
+        if row is None or row.status == "done":
+            return None
+        return Run(row.run_id, row.low_mark, row.high_mark, row.run_ts)
+
+    def record(self, run: Run, status: str) -> None:
         row = self.spark.range(1).select(
-            F.lit(name).alias("pipeline"),
-            F.lit(run_id).alias("run_id"),
+            F.lit(run.run_id).alias("run_id"),
             F.lit(status).alias("status"),
-            _mark(low).alias("low_mark"),
-            _mark(high).alias("high_mark"),
-            F.current_timestamp().alias("run_ts"),
+            _mark(run.low).alias("low_mark"),
+            _mark(run.high).alias("high_mark"),
+            _mark(run.at).alias("run_ts"),
         )
-        row.write.mode("append").insertInto(self.table)
+        overwrite_table(row.coalesce(1), self.table, self.location)
 
 
 def hand_over(
-    state: StateTable, name: str, source: str, sink: str, write: Callable[[DataFrame], None]
+    state: StateTable,
+    source: str,
+    write: Callable[[DataFrame, Run], None],
+    run_ts: dt.datetime | None = None,
 ) -> bool:
     """Give the rows of `source` that are new since the last run to `write`.
 
-    The bounds are recorded first. After a failure the same bounds are taken again, and
-    if `sink` already holds rows from between them, only the record was lost: nothing is
-    written twice. Returns whether there was anything new.
+    The bounds and the time of the run are recorded first. After a failure the same run is
+    done again, with the same rows, id and time, whatever its first try had written: `write`
+    has to replace what it wrote under that id. Returns whether there was anything new.
     """
-    spark = state.spark
-    rows = read_table(spark, source)
-    pending = state.unfinished(name)
-    if pending:
-        run_id, low, high = pending
-    else:
-        run_id, low = uuid4().hex, state.last_mark(name)
-        high = (
-            high_mark(rows, None if low is None else _mark(low))
-            .select(F.unix_micros("high_mark").alias("m"))
-            .first()
-            .m
-        )
+    rows = read_table(state.spark, source)
+    run = state.unfinished()
+    if run is None:
+        low = state.last_mark()
+        newer = high_mark(rows, None if low is None else _mark(low))
+        high = newer.select(F.unix_micros("high_mark").alias("m")).first().m
         if high is None:
             return False
-        state.record(name, run_id, "started", low, high)
-    between = ingested_between(None if low is None else _mark(low), _mark(high))
-    written = (
-        pending
-        and spark.catalog.tableExists(sink)
-        and not read_table(spark, sink).filter(between).isEmpty()
-    )
-    if not written:
-        write(rows.filter(between))
-    state.record(name, run_id, "done", low, high)
+        at = (run_ts or dt.datetime.now(UTC)) - dt.datetime.fromtimestamp(0, UTC)
+        run = Run(uuid4().hex, low, high, at // dt.timedelta(microseconds=1))
+        state.record(run, "started")
+    write(rows.filter(ingested_between(None if run.low is None else _mark(run.low), _mark(run.high))), run)
+    state.record(run, "done")
     return True

@@ -1,4 +1,5 @@
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from uuid import uuid4
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from lakeops.functions.time import partition_columns
 from lakeops.operators import sinks
 from lakeops.sources import tables
-from lakeops.streaming.state import StateTable, hand_over
+from lakeops.streaming.state import Run, StateTable, hand_over
 
 UTC = dt.timezone.utc
 
@@ -52,7 +53,7 @@ def test_append_by_day_and_read_by_day(spark, schema, tmp_path, rows):
     df = spark.createDataFrame([(d,) for d in days], "d string")
     df = partition_columns(df.withColumn("timestamp", F.col("d").cast("timestamp")))
     for _ in range(2):
-        sinks.append_table(df, f"{schema}.t", f"{tmp_path}/t")
+        sinks.append_table(df, f"{schema}.t", f"{tmp_path}/t", uuid4().hex)
     table = tables.read_table(spark, f"{schema}.t")
     assert table.count() == 8
     found = tables.date_range(table, dt.date(2024, 12, 31), dt.date(2025, 1, 1))
@@ -72,7 +73,7 @@ def test_a_hot_day_is_split_over_tasks(spark, schema, tmp_path):
     try:
         df = spark.range(0, 200_000, 1, 8).withColumn("timestamp", F.lit("2025-01-01 00:00:00"))
         df = partition_columns(df.withColumn("timestamp", F.col("timestamp").cast("timestamp")))
-        sinks.append_table(df, f"{schema}.t", f"{tmp_path}/t")
+        sinks.append_table(df, f"{schema}.t", f"{tmp_path}/t", "run")
     finally:
         spark.conf.set(key, before)
     written = tables.read_table(spark, f"{schema}.t")
@@ -86,11 +87,38 @@ def test_overwrite(spark, schema, tmp_path, rows):
     assert rows(tables.read_table(spark, f"{schema}.t")) == [(0,), (1,)]
 
 
+def test_a_failed_overwrite_leaves_the_table(spark, schema, tmp_path, rows):
+    table, path = f"{schema}.t", f"{tmp_path}/t"
+    sinks.overwrite_table(spark.range(5), table, path)
+    bad = spark.range(9).select(F.when(F.col("id") < 8, F.col("id")).otherwise(F.raise_error(F.lit("no"))).alias("id"))
+    with pytest.raises(Exception, match="no"):
+        sinks.overwrite_table(bad, table, path)
+    assert len(rows(tables.read_table(spark, table))) == 5
+    for n in (2, 3, 4):
+        sinks.overwrite_table(spark.range(n).selectExpr("id", "id AS more"), table, path)
+    assert len(rows(tables.read_table(spark, table))) == 4
+    assert len([f for f in (tmp_path / "t").iterdir() if f.name.startswith("v")]) == 2
+
+
+def test_append_adds_columns_and_replaces_its_own_run(spark, schema, tmp_path, rows):
+    table, path = f"{schema}.t", f"{tmp_path}/t"
+
+    def add(run_id, sql):
+        sinks.append_table(spark.sql(sql), table, path, run_id, partition_by=["day"])
+
+    add("r1", "SELECT 1 AS a, 1 AS day UNION ALL SELECT 2, 2")
+    add("r2", "SELECT 'x' AS b, 3 AS a, 1 AS day")
+    add("r3", "SELECT 1 AS day, 'y' AS B")
+    add("r2", "SELECT 'z' AS b, 4 AS a, 1 AS day")
+    assert rows(tables.read_table(spark, table), "a", "b", "day") == [
+        (None, "y", 1), (1, None, 1), (2, None, 2), (4, "z", 1),
+    ]
+
+
 class HandOver:
-    def __init__(self, spark, schema, tmp_path):
+    def __init__(self, spark, schema, tmp_path, name="events"):
         self.spark, self.schema, self.root = spark, schema, tmp_path
-        self.state = StateTable(spark, f"{schema}.pipeline_state", f"{tmp_path}/state")
-        self.state.create()
+        self.state = StateTable(spark, f"{schema}.{name}_state", f"{tmp_path}/state/{name}")
         self.source, self.sink = f"{schema}.bronze", f"{schema}.silver"
 
     def add(self, *seconds):
@@ -98,11 +126,11 @@ class HandOver:
             "path", f"{self.root}/bronze"
         ).saveAsTable(self.source)
 
-    def write(self, df):
-        df.write.mode("append").option("path", f"{self.root}/silver").saveAsTable(self.sink)
+    def write(self, df, run):
+        sinks.append_table(df, self.sink, f"{self.root}/silver", run.run_id, partition_by=[])
 
     def run(self, write=None):
-        return hand_over(self.state, "events", self.source, self.sink, write or self.write)
+        return hand_over(self.state, self.source, write or self.write)
 
     def silver(self):
         return sorted(r.s for r in tables.read_table(self.spark, self.sink).collect())
@@ -115,17 +143,16 @@ def test_hand_over_takes_new_rows_once(spark, schema, tmp_path):
     assert not h.run() and h.silver() == [10, 20]
     h.add(30)
     assert h.run() and h.silver() == [10, 20, 30]
-    assert h.state.last_mark("events") == 30_000_000
-    assert h.state.last_mark("other") is None
+    assert h.state.last_mark() == 30_000_000
 
 
 def test_hand_over_leaves_rows_that_arrive_while_it_runs(spark, schema, tmp_path):
     h = HandOver(spark, schema, tmp_path)
     h.add(10)
 
-    def write_late(df):
+    def write_late(df, run):
         h.add(15)
-        h.write(df)
+        h.write(df, run)
 
     h.run(write_late)
     assert h.silver() == [10]
@@ -137,7 +164,7 @@ def test_hand_over_after_a_failed_write(spark, schema, tmp_path):
     h = HandOver(spark, schema, tmp_path)
     h.add(10)
 
-    def fail(df):
+    def fail(df, run):
         raise OSError("disk full")
 
     with pytest.raises(OSError):
@@ -147,15 +174,50 @@ def test_hand_over_after_a_failed_write(spark, schema, tmp_path):
     assert h.run() and h.silver() == [10, 20]
 
 
+def test_hand_over_after_half_a_write_gives_all_rows_once(spark, schema, tmp_path):
+    h = HandOver(spark, schema, tmp_path)
+    h.add(*range(1000))
+    times = []
+
+    def half(df, run):
+        times.append(run.time)
+        h.write(df.filter("s < 400"), run)
+        raise OSError("driver lost")
+
+    def whole(df, run):
+        times.append(run.time)
+        h.write(df, run)
+
+    with pytest.raises(OSError):
+        h.run(half)
+    assert len(h.silver()) == 400
+    assert h.run(whole) and h.silver() == list(range(1000))
+    assert times[0] == times[1]
+    assert not h.run() and len(h.silver()) == 1000
+
+
 def test_hand_over_after_a_lost_record_does_not_write_twice(spark, schema, tmp_path):
     h = HandOver(spark, schema, tmp_path)
     h.add(10)
 
-    def fail_after(df):
-        h.write(df)
+    def fail_after(df, run):
+        h.write(df, run)
         raise OSError("driver lost")
 
     with pytest.raises(OSError):
         h.run(fail_after)
     assert h.run() and h.silver() == [10]
     assert not h.run()
+
+
+def test_pipelines_record_side_by_side_and_state_does_not_grow(spark, schema, tmp_path):
+    def record(i):
+        state = HandOver(spark, schema, tmp_path, f"p{i}").state
+        for k in range(6):
+            state.record(Run(f"{i}-{k}", k, k + 1, 0), "done")
+        return state
+
+    with ThreadPoolExecutor(5) as pool:
+        for state in pool.map(record, range(5)):
+            assert state.last_mark() == 6 and state.unfinished() is None
+            assert tables.read_table(spark, state.table).count() == 1
