@@ -394,12 +394,61 @@ ORACLE: dict[str, str] = {
     "lakehouse_sales_volume": """
         SELECT upper(event_type) AS category, CAST(day AS DATE) AS order_date,
                count(*) AS orders_count,
-               CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_sales
+               CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_sales,
+               CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / nullif(count(value), 0)
+                 AS avg_order_value
         FROM (SELECT *, CASE WHEN event_id % 11 <> 0 THEN ts
                              ELSE TIMESTAMP '2030-01-01 00:00:00' END AS day
               FROM events)
         GROUP BY ALL""",
 }
+ORACLE |= {
+    "lakehouse_two_runs": ORACLE["lakehouse_sales_volume"],
+    "lakehouse_climate": ORACLE["silver_climate"],
+    "lakehouse_logistics": ORACLE["silver_logistics"],
+    "lakehouse_inventory": ORACLE["silver_inventory"],
+    "lakehouse_fulfillment": _with(
+        "logistics",
+        """
+        SELECT upper(event_type) AS category, 'CITY' AS city, count(*) AS total_orders,
+               CAST(sum(CASE WHEN delay <= 0 THEN 1 ELSE 0 END) AS BIGINT) AS on_time_deliveries,
+               avg(delay) AS avg_delay_days,
+               CAST(sum(CASE WHEN delay <= 0 THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS on_time_rate
+        FROM events JOIN (SELECT order_id, date_diff('day', scheduled_delivery_date,
+            CASE WHEN actual_delivery_date IS NULL AND upper(shipment_status) = 'RECEIVED'
+                 THEN scheduled_delivery_date ELSE actual_delivery_date END) AS delay FROM logistics)
+          ON event_id = order_id
+        GROUP BY event_type""",
+    ),
+    "lakehouse_client_data": """
+        SELECT event_id AS _offset, CAST(user_id AS VARCHAR) AS key,
+               CASE WHEN good THEN concat('user ', user_id) END AS full_name,
+               CASE WHEN good THEN CAST(user_id % 80 AS INTEGER) END AS age,
+               CASE WHEN good THEN value END AS engagement_score,
+               CASE WHEN good THEN date_trunc('millisecond', ts) END AS "timestamp",
+               CASE WHEN good THEN concat(event_type, ',x') END AS items
+        FROM (SELECT *, event_id % 10 <> 0 AS good FROM events)""",
+    "split_by_schema": """
+        SELECT event_id, event_id % 3 <> 0 AS rejected,
+               concat(CASE event_id % 3 WHEN 1 THEN '0000000107' ELSE '' END, hex(encode(event_type)))
+                 AS payload
+        FROM events""",
+    "ingest_misfits": """
+        SELECT CASE WHEN k <> 3 THEN event_id END AS id, CASE WHEN k = 0 THEN event_id END AS a,
+               CASE WHEN k = 2 THEN 1::BIGINT END AS first,
+               CASE k WHEN 1 THEN '{"s":"{\\"a\\":\\"x\\"}"}'
+                      WHEN 2 THEN concat('{"l":"[{\\"a\\":1,\\"z\\":', event_id, '}]"}')
+                      WHEN 3 THEN concat('{"id":"x', event_id, '"}') END AS _rescued_data
+        FROM (SELECT event_id, event_id % 4 AS k FROM events)""",
+    "ingest_binary_content": """
+        SELECT md5(line) AS line_md5
+        FROM (SELECT unnest(string_split(html, chr(10))) AS line FROM pages)""",
+    "widened_append": """
+        SELECT event_id, CASE WHEN event_id % 2 = 1 THEN event_type END AS event_type, value,
+               CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
+               CAST(day(ts) AS INTEGER) AS day
+        FROM events""",
+}
 for _name in ("impute_window_null", "impute_window_nan"):
     ORACLE[_name] = _with(
         "readings",

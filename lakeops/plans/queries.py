@@ -261,21 +261,48 @@ def partitioned_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _new_lake(spark, "partitioned")
     sinks.create_schema(spark, f"{lake.prefix}silver", f"{lake.root}/silver")
     events = time.partition_columns(v.read(spark, sf_dir, "events"), "ts")
-    table = lake.table("silver", "events")
-    sinks.append_table(events, table, f"{lake.root}/silver/events")
-    days = tables.date_range(
-        tables.read_table(spark, table), dt.date(2024, 1, 3), dt.date(2024, 1, 23)
-    )
+    sinks.append_table(events, lake.table("silver", "events"), f"{lake.root}/silver/events", "run")
+    days = tables.date_range(_kept(lake, "silver", "events"), dt.date(2024, 1, 3), dt.date(2024, 1, 23))
     return days.select("event_id", "event_type", "value", "year", "month", "day")
 
 
+def widened_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events appended in two runs, the second one twice and with a column more."""
+    lake = _new_lake(spark, "widened")
+    sinks.create_schema(spark, f"{lake.prefix}silver", f"{lake.root}/silver")
+    events = time.partition_columns(v.read(spark, sf_dir, "events"), "ts")
+    first = events.filter("event_id % 2 = 0").select("event_id", "value", "year", "month", "day")
+    second = events.filter("event_id % 2 = 1").select(
+        "year", "month", "day", "event_type", "value", "event_id"
+    )
+    for run, rows in (("r1", first), ("r2", second), ("r2", second)):
+        sinks.append_table(rows, lake.table("silver", "events"), f"{lake.root}/silver/events", run)
+    return _kept(lake, "silver", "events").select(
+        "event_id", "event_type", "value", "year", "month", "day"
+    )
+
+
 # --- streams and whole jobs
 
 
 def _new_lake(spark: SparkSession, name: str) -> Lake:
     folder = work_folder(spark, name)
     prefix = f"lake_{folder.rsplit('-', 1)[1]}_"
-    return Lake(spark, f"{folder}/landing", f"{folder}/lakehouse", prefix=prefix)
+    return Lake(spark, f"{folder}/landing", f"{folder}/lakehouse", prefix=prefix, sum_type=EXACT)
+
+
+def _kept(lake: Lake, layer: str, name: str) -> DataFrame:
+    """A table's files, without the catalog entries of its lake."""
+    spark = lake.spark
+    table = tables.read_table(spark, lake.table(layer, name))
+    about = spark.sql(f"DESCRIBE TABLE EXTENDED {lake.table(layer, name)}")
+    location = about.filter("col_name = 'Location'").first().data_type
+    df = spark.read.schema(table.schema).parquet(location)
+    for schema in spark.catalog.listDatabases(f"{lake.prefix}*"):
+        # With a schema goes its folder, so it gets an empty one first.
+        spark.sql(f"ALTER SCHEMA {schema.name} SET LOCATION '{lake.root}/dropped/{schema.name}'")
+        spark.sql(f"DROP SCHEMA {schema.name} CASCADE")
+    return df
 
 
 def _ingested(spark: SparkSession, rows: DataFrame, fmt: str, hints: str, **options: str):
@@ -377,10 +404,143 @@ def lakehouse_sales_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake.ingest("online_sales")
     lake.process("online_sales", RUN_TIME)
     lake.aggregate("sales_volume")
-    gold = tables.read_table(spark, lake.table("gold", "sales_volume"))
-    # The table holds sums of doubles, whose last digits depend on the order of rows.
-    total = F.col("total_sales").cast(EXACT).cast("double")
-    return gold.select("category", "order_date", "orders_count", total.alias("total_sales"))
+    return _kept(lake, "gold", "sales_volume")
+
+
+def lakehouse_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in two runs, with files that came between them in folders of the folder."""
+    lake = _new_lake(spark, "runs")
+    raw = v.raw_sales_of_events(spark, sf_dir)
+    number = F.col("order_id").cast("bigint")
+    for rest, folder in ((0, "a"), (1, "b/deep")):
+        part = raw.filter(number % 2 == rest).write.option("header", True)
+        part.csv(f"{lake.landing}/webpage/online_sales/{folder}")
+        for _ in range(2):
+            lake.ingest("online_sales")
+            lake.process("online_sales", RUN_TIME)
+    lake.aggregate("sales_volume")
+    return _kept(lake, "gold", "sales_volume")
+
+
+def _through_tables(spark: SparkSession, name: str, raw: DataFrame, plain: DataFrame, fmt: str, **options):
+    """The silver table of a dataset, with the columns and types of the silver step alone."""
+    lake = _new_lake(spark, name)
+    writer = raw.write.format(fmt).options(**options)
+    writer.save(f"{lake.landing}/{SILVER[name].datasource}/{name}")
+    lake.ingest(name)
+    lake.process(name, RUN_TIME)
+    df = _kept(lake, "silver", name)
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in plain.schema])
+
+
+def lakehouse_climate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = v.raw_climate(spark, sf_dir)
+    return _through_tables(spark, "climate", raw, silver_climate(spark, sf_dir), "json")
+
+
+def lakehouse_logistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = v.raw_logistics(spark, sf_dir)
+    return _through_tables(spark, "logistics", raw, silver_logistics(spark, sf_dir), "parquet")
+
+
+def lakehouse_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = v.raw_inventory(spark, sf_dir)
+    plain = silver_inventory(spark, sf_dir)
+    return _through_tables(spark, "inventory", raw, plain, "csv", header="true")
+
+
+def lakehouse_fulfillment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales and deliveries through their silver tables to gold; every event is an order."""
+    lake = _new_lake(spark, "fulfillment")
+    raw = v.raw_sales_of_events(spark, sf_dir)
+    raw.write.option("header", True).csv(f"{lake.landing}/webpage/online_sales")
+    deliveries = v.raw_logistics(spark, sf_dir)
+    deliveries.write.parquet(f"{lake.landing}/internal_system/logistics")
+    for name in ("online_sales", "logistics"):
+        lake.ingest(name)
+        lake.process(name, RUN_TIME)
+    lake.aggregate("order_fulfillment_performance")
+    return _kept(lake, "gold", "order_fulfillment_performance")
+
+
+def lakehouse_client_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as records of the topic, decoded into bronze."""
+    lake = _new_lake(spark, "clients")
+    ts = F.col("ts").cast("timestamp")
+    value = F.struct(
+        ts.alias("timestamp"),
+        F.concat(F.lit("user "), "user_id").alias("full_name"),
+        (F.col("user_id") % 80).alias("age"),
+        F.array("event_type", F.lit("x")).alias("wishlist_items"),
+        F.col("value").alias("engagement_score"),
+    )
+    bad = F.col("event_id") % 10 == 0
+    records = v.read(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").cast("binary").alias("key"),
+        F.when(bad, "junk").otherwise(F.to_json(value)).cast("binary").alias("value"),
+        F.lit("topic_client_data").alias("topic"),
+        F.lit(0).alias("partition"),
+        F.col("event_id").alias("offset"),
+        ts.alias("timestamp"),
+        F.lit(0).alias("timestampType"),
+    )
+    records.write.parquet(f"{lake.landing}/topic")
+    stream = spark.readStream.schema(records.schema).parquet(f"{lake.landing}/topic")
+    lake.ingest("client_data", records=stream)
+    df = _kept(lake, "bronze", "client_data")
+    columns = ["_offset", "key", "full_name", "age", "engagement_score", "timestamp"]
+    items = F.array_join("wishlist_items", ",").alias("items")
+    return _plain_times(df.select(*columns, items))
+
+
+def split_by_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Framed events of two schemas and without a frame: those to decode, and the rejects."""
+    number = F.col("event_id") % 3
+    frame = F.when(number == 0, "0000000007").when(number == 1, "0000000107").otherwise("")
+    value = F.concat(F.unhex(frame), F.encode("event_type", "UTF-8"))
+    events = v.read(spark, sf_dir, "events").select("event_id", value.alias("value"))
+    known, others = decode.split_by_schema(events, 7)
+    return known.select(
+        "event_id", F.lit(False).alias("rejected"), F.hex(decode.strip_frame(F.col("value"))).alias("payload")
+    ).unionAll(others.select("event_id", F.lit(True), F.hex("value")))
+
+
+def ingest_misfits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON lines with nested fields that do not fit, or are not known, through the stream."""
+    folder = work_folder(spark, "misfits")
+    number = F.col("event_id").cast("string")
+    events = v.read(spark, sf_dir, "events")
+    rest = F.col("event_id") % 4
+    line = (
+        F.when(rest == 0, F.concat(F.lit('{"id":'), number, F.lit(',"s":{"a":'), number, F.lit("}}")))
+        .when(rest == 1, F.concat(F.lit('{"id":'), number, F.lit(',"s":{"a":"x"}}')))
+        .when(rest == 2, F.concat(F.lit('{"id":'), number, F.lit(',"l":[{"a":1,"z":'), number, F.lit("}]}")))
+        .otherwise(F.concat(F.lit('{"id":"x'), number, F.lit('"}')))
+    )
+    events.select(line.alias("value")).write.text(f"{folder}/landing/deep/er")
+    hints = "id bigint, s struct<a:bigint>, l array<struct<a:bigint>>"
+    for _ in range(2):
+        stream = files.read_file_stream(spark, f"{folder}/landing", "json", f"{folder}/schema", {}, hints)
+        drain(stream, f"{folder}/bronze", f"{folder}/checkpoint", folder)
+    return spark.read.parquet(f"{folder}/bronze").select(
+        "id", F.col("s.a").alias("a"), F.get("l", F.lit(0))["a"].alias("first"), "_rescued_data"
+    )
+
+
+def ingest_binary_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as files of text, in folders of the folder; a digest of every line in bronze."""
+    folder = work_folder(spark, "content")
+    pages = v.read(spark, sf_dir, "pages").select("html")
+    pages.write.option("maxRecordsPerFile", 100).text(f"{folder}/landing/deep")
+    stream = files.read_file_stream(
+        spark, f"{folder}/landing", "binaryFile", "", {"pathGlobFilter": "*.txt"}
+    )
+    drain(stream, f"{folder}/bronze", f"{folder}/checkpoint", folder)
+    text = F.decode("content", "UTF-8")
+    lines = F.split(F.substring(text, F.lit(1), F.length(text) - 1), "\n")
+    return spark.read.parquet(f"{folder}/bronze").select(F.explode(lines).alias("line")).select(
+        F.md5(F.col("line").cast("binary")).alias("line_md5")
+    )
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -427,5 +587,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         silver_online_sales,
         bronze_to_gold_sales,
         lakehouse_sales_volume,
+        lakehouse_two_runs,
+        lakehouse_climate,
+        lakehouse_logistics,
+        lakehouse_inventory,
+        lakehouse_fulfillment,
+        lakehouse_client_data,
+        split_by_schema,
+        ingest_misfits,
+        ingest_binary_content,
+        widened_append,
     )
 }

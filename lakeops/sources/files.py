@@ -7,8 +7,9 @@ reads them records the files seen. Data that does not fit the schema is kept in
 
 import json
 import re
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from functools import reduce
+from itertools import islice
 from operator import add, and_, or_
 
 from pyspark.errors import AnalysisException
@@ -299,18 +300,12 @@ def _other_order(header: Column, names: list[str]) -> Column:
     return ~in_order & (elsewhere >= max(2, (len(named) + 1) // 2))
 
 
-def check_headers(
-    spark: SparkSession,
-    path: str,
-    names: list[str],
-    options: Mapping[str, str],
-    location: str,
-    at_once: int = 1000,
-) -> None:
-    """Stop if a file that came since the last check has its columns in another order.
+def new_files(
+    spark: SparkSession, path: str, options: Mapping[str, str], location: str, at_once: int = 1000
+) -> Iterator[list[str]]:
+    """Names of the files that the record at `location` does not have, some at a time.
 
-    The files checked are recorded at `location`. Of new files the first line is read, by its
-    place in the file, whatever it says.
+    They are recorded when the next ones are asked for, or at the end.
     """
     glob = {k: v for k, v in options.items() if k.lower() == "pathglobfilter"}
     there = _folder(spark.read.format("binaryFile"), glob).load(path)
@@ -320,11 +315,23 @@ def check_headers(
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
+    new = there.toLocalIterator()
+    while some := list(islice(new, at_once)):
+        yield [r.path for r in some]
+        spark.createDataFrame(some, there.schema).coalesce(1).write.mode("append").parquet(location)
+
+
+def check_headers(
+    spark: SparkSession, path: str, names: list[str], options: Mapping[str, str], location: str
+) -> None:
+    """Stop if a file that came since the last check has its columns in another order.
+
+    Of new files the first line is read, by its place in the file, whatever it says.
+    """
     csv = {k: v for k, v in options.items() if k.lower() in ("sep", "delimiter", "quote", "escape")}
     width = ", ".join(f"c{i} string" for i in range(len(names)))
-    new = there.toLocalIterator(prefetchPartitions=True)
-    while some := [r for _, r in zip(range(at_once), new)]:
-        lines = spark.read.text([r.path for r in some]).select(
+    for some in new_files(spark, path, options, location):
+        lines = spark.read.text(some).select(
             "value",
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
@@ -336,7 +343,25 @@ def check_headers(
         wrong = first.filter(_other_order(header, names)).select("file").first()
         if wrong:
             raise ValueError(f"columns in another order than the schema: {wrong.file}")
-        spark.createDataFrame(some, there.schema).coalesce(1).write.mode("append").parquet(location)
+
+
+def stored_schema(
+    spark: SparkSession, path: str, options: Mapping[str, str], location: str
+) -> T.StructType:
+    """The columns that Parquet files have, from the footers of those that came since last time.
+
+    What was found before is kept at `location`.
+    """
+    schema = load_schema(spark, location) or T.StructType()
+    for some in new_files(spark, path, options, f"{location}_files"):
+        found = spark.read.option("mergeSchema", True).parquet(*some).schema
+        types = {f.name.lower(): f.dataType for f in schema}
+        other = [f.name for f in found if types.get(f.name.lower(), f.dataType) != f.dataType]
+        if other:
+            raise ValueError(f"types of {other} differ from those of earlier files in {path}")
+        schema = T.StructType([*schema, *[f for f in found if f.name.lower() not in types]])
+        save_schema(spark, schema, location)
+    return schema
 
 
 def stream_csv(
@@ -370,13 +395,14 @@ def stream_parquet(
     path: str,
     schema: T.StructType,
     options: Mapping[str, str],
+    location: str,
 ) -> DataFrame:
     """Parquet files as they are stored, then cast to the schema.
 
-    The stored columns are read again from the footers on every run, so columns that
-    came after the schema was kept are rescued too.
+    Columns that came after the schema was kept are rescued too. `location` is where the
+    stored columns are kept, so that footers are read once.
     """
-    stored = infer_schema(spark, path, "parquet", options)
+    stored = stored_schema(spark, path, options, location)
     rows = _folder(spark.readStream.format("parquet"), options).schema(stored).load(path)
     return rescue_texts(_with_file(rows), schema, options=options)
 
@@ -403,11 +429,12 @@ def read_file_stream(
     options = {"maxFilesPerTrigger": FILES_PER_BATCH, **(options or {})}
     if fmt == "binaryFile":
         return stream_binary(spark, path, options)
-    streams = {"csv": stream_csv, "json": stream_json, "parquet": stream_parquet}
-    if fmt not in streams:
+    if fmt not in ("csv", "json", "parquet"):
         raise ValueError(f"unknown file format: {fmt!r}")
     schema = resolve_schema(spark, path, fmt, schema_location, options, hints)
     if fmt == "csv" and str(options.get("header", "false")).lower() == "true":
         names = [f.name for f in schema]
         check_headers(spark, path, names, options, f"{schema_location}_headers")
-    return streams[fmt](spark, path, schema, options)
+    if fmt == "parquet":
+        return stream_parquet(spark, path, schema, options, f"{schema_location}_stored")
+    return {"csv": stream_csv, "json": stream_json}[fmt](spark, path, schema, options)

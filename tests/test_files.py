@@ -202,6 +202,20 @@ def test_parquet_casts_to_hints_and_rescues_late_columns(spark, tmp_path):
     assert json.loads(row._rescued_data) == {"made": "soon", "late": "[1,2]"}
 
 
+def test_parquet_footers_are_read_once(spark, tmp_path, monkeypatch):
+    landing = Landing(spark, tmp_path, "parquet")
+    spark.range(3).write.parquet(f"{tmp_path}/landing/sub")
+    assert landing.ingest().count() == 3
+    found = list(files.new_files(spark, f"{tmp_path}/landing", {}, f"{tmp_path}/schema_stored_files"))
+    assert found == []
+    spark.range(2).selectExpr("id", "id AS late").write.parquet(f"{tmp_path}/landing/more")
+    df = landing.ingest()
+    assert df.count() == 5 and df.filter("_rescued_data LIKE '%late%'").count() == 2
+    spark.sql("SELECT 'text' AS id").write.parquet(f"{tmp_path}/landing/odd")
+    with pytest.raises(ValueError, match="id"):
+        landing.ingest()
+
+
 def test_binary_files(spark, tmp_path):
     landing = Landing(spark, tmp_path, "binaryFile")
     landing.put("a.jpg", "xyz")
