@@ -90,16 +90,17 @@ def host_verdicts(features: DataFrame, host: str) -> DataFrame:
     hosts = features.groupBy(F.col(host).alias("host")).agg(
         F.count("*").alias("n"), F.sum(F.col("rule_failed").cast("long")).alias("failed")
     )
+    hosts = stored(hosts, "host_counts")
     share = F.col("failed") / F.col("n")
-    prior = hosts.agg(F.avg(share).alias("m"), F.var_pop(share).alias("v"))
-    m, v = F.col("m"), F.col("v")
-    prior = prior.select(
-        "m", F.when(v > 0, F.greatest(F.lit(1.0), m * (1 - m) / v - 1)).alias("c")
-    )
-    # The prior is one row, the result of a global aggregate.
-    shrunk = F.coalesce((F.col("failed") + m * F.col("c")) / (F.col("n") + F.col("c")), m)
-    return hosts.join(F.broadcast(prior)).select(
-        "host", "n", "failed", shrunk.alias("share"), (shrunk > MAX_HOST_FAILURES).alias("rejected")
+    # Two numbers.
+    m, v = hosts.agg(F.avg(share), F.var_pop(share)).first()
+    if v:
+        c = max(1.0, m * (1 - m) / v - 1)
+        share = (F.col("failed") + m * c) / (F.col("n") + c)
+    else:
+        share = F.lit(m).cast("double")
+    return hosts.select("host", "n", "failed", share.alias("share")).withColumn(
+        "rejected", F.coalesce(F.col("share") > MAX_HOST_FAILURES, F.lit(False))
     )
 
 
