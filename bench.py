@@ -12,7 +12,9 @@ import time
 from lakeops.plans.queries import QUERIES
 from lakeops.session import local_session
 
-HEADLINE = tuple(QUERIES)
+# Order lines span seven years: these write a folder for each of 2,500 days.
+MANY_FOLDERS = {"lakehouse_inventory", "lakehouse_logistics", "lakehouse_fulfillment"}
+HEADLINE = tuple(q for q in QUERIES if q not in MANY_FOLDERS)
 
 
 def seconds(spark, sf_dir, name, runs=3, slow=10):
