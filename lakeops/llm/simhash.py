@@ -3,13 +3,13 @@
 The 64 bits are cut into segments. If two fingerprints differ in at most `d` bits and each
 segment i has a radius r_i with sum(r_i) = d - segments + 1, then in some segment they differ
 in r_i bits at most. So every fingerprint is filed under each of its segments, looks into the
-table entries of the small Hamming ball around each, and complete distances decide. Three
-segments serve up to `FEW` different fingerprints, two beyond, which keeps entries short; the
-links found are the same.
+table entries of the small Hamming ball around each, and complete distances decide. With three
+segments that is 45 rows for a fingerprint, and two million entries for a segment.
 
 Texts with equal fingerprints are one class from the start. In a long table entry links are
-followed breadth first over the fingerprints not yet reached, so a dense entry costs little
-more than its length and gives a tree of links, never all pairs. Components come from
+followed from one fingerprint to the next over those not yet reached, so a dense entry costs
+little more than its length, any other the product of those filed and those that look, and all
+that comes out is a tree of links, never all pairs. Components come from
 alternating large-star and small-star steps over written tables.
 
 Defined cases: null and wordless texts have the fingerprint zero; texts shorter than a
@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from lakeops.llm.common import packed, stored
 
 SEED = 42
-FEW = 1 << 25
-# Table entries longer than this are linked breadth first.
+SEGMENTS = 3
+# Table entries longer than this are linked by following links.
 LONG_ENTRY = 64
 # Shingles whose bits are counted at once.
 BLOCK = 1 << 16
@@ -113,22 +113,29 @@ def _entries(prints: DataFrame, distance: int, segments: int) -> DataFrame:
     return out
 
 
-def _tree(values: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links that connect what short distances connect: one for each value but the first."""
-    left, a, b = values, [], []
-    while len(left):
-        queue, left = [left[0]], left[1:]
-        while queue and len(left):
-            x = queue.pop()
-            near = np.bitwise_count(left ^ x) <= distance
-            if near.any():
-                found = left[near]
-                left = left[~near]
-                a.append(np.full(len(found), x))
-                b.append(found)
-                queue.extend(found)
+def _tree(values: np.ndarray, home: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect what links of short distance, with one end at home, connect.
+
+    One link for each value but a component's first: values once reached are compared no more,
+    and those not at home only with those that are.
+    """
+    homes, guests, a, b = values[home], values[~home], [], []
+    while len(homes):
+        queue, homes = [(homes[0], True)], homes[1:]
+        while queue:
+            x, at_home = queue.pop()
+            near = np.bitwise_count(homes ^ x) <= distance
+            found, homes = homes[near], homes[~near]
+            queue.extend((y, True) for y in found)
+            if at_home:
+                near = np.bitwise_count(guests ^ x) <= distance
+                more, guests = guests[near], guests[~near]
+                queue.extend((y, False) for y in more)
+                found = np.concatenate([found, more])
+            a.append(np.full(len(found), x))
+            b.append(found)
     none = np.zeros(0, np.uint64)
-    return (np.concatenate(a), np.concatenate(b)) if a else (none, none)
+    return np.concatenate([none, *a]), np.concatenate([none, *b])
 
 
 def _links(entry: np.ndarray, fp: np.ndarray, home: np.ndarray, distance: int):
@@ -140,7 +147,7 @@ def _links(entry: np.ndarray, fp: np.ndarray, home: np.ndarray, distance: int):
     long = sizes > LONG_ENTRY
     for at, n in zip(starts[long], sizes[long]):
         if home[at]:
-            yield _tree(np.unique(fp[at : at + n]), distance)
+            yield _tree(fp[at : at + n], home[at : at + n], distance)
     keep = (size <= LONG_ENTRY) & (size > 1)
     entry, fp, home = entry[keep], fp[keep], home[keep]
     for lag in range(1, int(size[keep].max(initial=1))):
@@ -222,8 +229,7 @@ def classes(df: DataFrame, shingle: int, distance: int) -> DataFrame:
     """`_id`, `_hash`, `fp`, `root` (a component's fingerprint) and `component_id` per row."""
     rows = stored(fingerprints(df, shingle), "prints")
     prints = stored(rows.groupBy("fp").agg(F.min("_id").alias("least")), "classes")
-    segments = 3 if prints.count() <= FEW else 2
-    found = components(links(prints, distance, max(1, min(segments, distance + 1))))
+    found = components(links(prints, distance, min(SEGMENTS, distance + 1)))
     joined = prints.join(found, prints["fp"] == found["node"], "left")
     roots = joined.select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = roots.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -27,7 +27,7 @@ def test_hash_is_that_of_sql(spark):
 
 @pytest.mark.parametrize("segments", [2, 3])
 def test_links_join_what_is_near(spark, segments, monkeypatch):
-    """Random clusters; with two segments and short entries both ways of linking are used."""
+    """Random clusters; with short entries both ways of linking are used."""
     monkeypatch.setattr(simhash, "LONG_ENTRY", 8)
     draw, prints = random.Random(segments), set()
     for _ in range(12):
@@ -69,8 +69,12 @@ def test_components_of_a_long_chain_and_a_hub(spark):
 
 def test_a_tree_instead_of_all_pairs():
     values = np.array([1 << b for b in range(64)], np.uint64)
-    a, b = simhash._tree(values, 2)
+    a, b = simhash._tree(values, np.ones(64, bool), 2)
     assert len(a) == len(b) == 63
+    # Those not at home meet through one that is.
+    home = np.arange(64) == 5
+    a, b = simhash._tree(values, home, 2)
+    assert len(a) == 63 and set(a.tolist()) == {1 << 5}
 
 
 def test_one_of_each_group_stays(awkward, documents, no_documents):
