@@ -135,6 +135,8 @@ def keep_good(df: DataFrame, text: str = "text", host: str = "source") -> DataFr
     hosts = measured(df, F.col(text), F.col(host))
     verdicts = stored(host_verdicts(hosts, "_k0"), "hosts")
     rows = packed(df)
-    good = measured(rows, F.col(f"row.{text}"), F.col("row")).filter(~F.col("base_failed"))
+    good = measured(rows, F.col(f"row.{text}"), F.col("row"))
+    # A filter on the column itself would be moved down and measure the texts several times.
+    good = good.select("_k0", F.explode_outer(F.array("base_failed")).alias("_bad")).filter("NOT _bad")
     good = _with_verdict(good.select("_k0"), F.col(f"_k0.{host}"), verdicts)
     return good.filter(~F.col("host_rejected")).select("_k0.*")
