@@ -315,6 +315,15 @@ ORACLE: dict[str, str] = {
                CAST(NULL AS VARCHAR) AS _rescued_data, true AS _ingested_filename,
                true AS _ingestion_time
         FROM lineitem""",
+    "ingest_parquet_types": """
+        SELECT l_orderkey,
+               CASE WHEN l_orderkey % 5 <> 0 OR l_linenumber <> 1
+                 THEN CAST(l_linenumber AS INTEGER) END AS l_linenumber,
+               l_returnflag,
+               CASE WHEN l_orderkey % 5 = 0 AND l_linenumber = 1
+                 THEN '{"l_linenumber":"line 1"}' END AS _rescued_data,
+               true AS _ingested_filename, true AS _ingestion_time
+        FROM lineitem""",
     "ingest_binary_files": """
         SELECT CAST(sum(strlen(html) + 1) AS BIGINT) AS total_bytes,
                CAST(sum(strlen(html) + 1) AS BIGINT) AS content_bytes

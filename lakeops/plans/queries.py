@@ -305,11 +305,20 @@ def _kept(lake: Lake, layer: str, name: str) -> DataFrame:
     return df
 
 
-def _ingested(spark: SparkSession, rows: DataFrame, fmt: str, hints: str, **options: str):
+def _ingested(
+    spark: SparkSession,
+    rows: DataFrame,
+    fmt: str,
+    hints: str,
+    others: DataFrame | None = None,
+    **options: str,
+):
     """Write rows as landing files and ingest them twice; the second time adds nothing."""
     folder = work_folder(spark, f"ingest-{fmt}")
     landing, bronze = f"{folder}/landing", f"{folder}/bronze"
     rows.write.format(fmt).options(**options).save(landing)
+    if others is not None:
+        others.write.format(fmt).options(**options).save(f"{landing}/others")
     for _ in range(2):
         stream = files.read_file_stream(
             spark, landing, fmt, f"{folder}/schema", options, hints
@@ -346,6 +355,16 @@ def ingest_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ingested(spark, rows, "parquet", "l_shipdate date")
 
 
+def ingest_parquet_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of two types for a column, the second with texts that are no numbers."""
+    rows = v.read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    number = F.col("l_linenumber").cast("string")
+    text = F.when(F.col("l_linenumber") == 1, F.concat(F.lit("line "), number)).otherwise(number)
+    odd = F.col("l_orderkey") % 5 == 0
+    others = rows.filter(odd).withColumn("l_linenumber", text)
+    return _ingested(spark, rows.filter(~odd), "parquet", "l_linenumber int", others)
+
+
 def ingest_binary_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as files of text; the bytes that arrive in bronze."""
     folder = work_folder(spark, "ingest-binary")
@@ -579,6 +598,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         ingest_csv,
         ingest_json,
         ingest_parquet,
+        ingest_parquet_types,
         ingest_binary_files,
         silver_climate,
         silver_inventory,

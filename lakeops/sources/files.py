@@ -12,7 +12,8 @@ from functools import reduce
 from itertools import islice
 from operator import add, and_, or_
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,12 +42,78 @@ def infer_schema(
         if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         schema = T.StructType()
+    except (PySparkException, Py4JJavaError) as e:
+        if fmt != "parquet" or not _types_differ(e):
+            raise
+        schema = _common_schema(spark, path, options or {})
     fields = [f for f in schema if f.name != BAD_LINE]
     if not fields:
         raise ValueError(f"no files to infer a schema from in {path}")
     return T.StructType(fields)
 
 
+def _types_differ(e: Exception) -> bool:
+    """Whether footers of Parquet files could not be merged; only the message tells it."""
+    return "CANNOT_MERGE" in str(e)
+
+
+def _common_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """A type that values of both fit: a wider number, or text."""
+    whole, number = T.IntegralType, (T.IntegralType, T.FloatType, T.DoubleType)
+    if a == b:
+        return a
+    if isinstance(a, whole) and isinstance(b, whole):
+        return T.LongType()
+    if isinstance(a, number) and isinstance(b, number):
+        return T.DoubleType()
+    return T.StringType()
+
+
+def _common_schema(spark: SparkSession, path: str, options: Mapping[str, str]) -> T.StructType:
+    """All columns of a folder's Parquet files, whose types may differ."""
+    names = _listed(spark, path, options).toLocalIterator()
+    fields: dict[str, T.StructField] = {}
+    while some := [r.path for r in islice(names, AT_ONCE)]:
+        for _, schema in _alike(spark, some):
+            for f in schema:
+                before = fields.setdefault(f.name.lower(), f)
+                dtype = _common_type(before.dataType, f.dataType)
+                fields[f.name.lower()] = T.StructField(before.name, dtype)
+    return T.StructType(list(fields.values()))
+
+
+def _agree(a: T.StructType, b: T.StructType) -> bool:
+    """Whether columns of one name have one type."""
+    types = {f.name.lower(): f.dataType for f in a}
+    return all(types.get(f.name.lower(), f.dataType) == f.dataType for f in b)
+
+
+def _with_new(a: T.StructType, b: T.StructType) -> T.StructType:
+    names = {f.name.lower() for f in a}
+    return T.StructType([*a, *[f for f in b if f.name.lower() not in names]])
+
+
+def _alike(spark: SparkSession, names: list[str]) -> list[tuple[list[str], T.StructType]]:
+    """Parquet files in groups that agree in types, with their columns.
+
+    Footers are merged in a distributed job; files that do not agree are halved.
+    """
+    try:
+        return [(names, spark.read.option("mergeSchema", True).parquet(*names).schema)]
+    except (PySparkException, Py4JJavaError) as e:
+        if len(names) == 1 or not _types_differ(e):
+            raise
+    half = len(names) // 2
+    groups: list[tuple[list[str], T.StructType]] = []
+    for some, schema in _alike(spark, names[:half]) + _alike(spark, names[half:]):
+        at = next((i for i, (_, known) in enumerate(groups) if _agree(known, schema)), None)
+        if at is None:
+            groups.append((some, schema))
+        else:
+            groups[at] = (groups[at][0] + some, _with_new(groups[at][1], schema))
+    return groups
+
+
 def with_hints(schema: T.StructType, hints: str | None) -> T.StructType:
     """The schema with the hinted columns replaced, or added where they are missing."""
     hinted = {f.name.lower(): f for f in T.StructType.fromDDL(hints)} if hints else {}
@@ -300,16 +367,25 @@ def _other_order(header: Column, names: list[str]) -> Column:
     return ~in_order & (elsewhere >= max(2, (len(named) + 1) // 2))
 
 
+# Files whose footers or headers are read at once.
+AT_ONCE = 1000
+
+
+def _listed(spark: SparkSession, path: str, options: Mapping[str, str]) -> DataFrame:
+    """Path and time of the files below a folder that are not empty."""
+    glob = {k: v for k, v in options.items() if k.lower() == "pathglobfilter"}
+    there = _folder(spark.read.format("binaryFile"), glob).load(path)
+    return there.filter("length > 0").select("path", "modificationTime")
+
+
 def new_files(
-    spark: SparkSession, path: str, options: Mapping[str, str], location: str, at_once: int = 1000
+    spark: SparkSession, path: str, options: Mapping[str, str], location: str, at_once: int = AT_ONCE
 ) -> Iterator[list[str]]:
     """Names of the files that the record at `location` does not have, some at a time.
 
     They are recorded when the next ones are asked for, or at the end.
     """
-    glob = {k: v for k, v in options.items() if k.lower() == "pathglobfilter"}
-    there = _folder(spark.read.format("binaryFile"), glob).load(path)
-    there = there.filter("length > 0").select("path", "modificationTime")
+    there = _listed(spark, path, options)
     try:
         there = there.join(spark.read.parquet(location), ["path", "modificationTime"], "left_anti")
     except AnalysisException as e:
@@ -346,22 +422,40 @@ def check_headers(
 
 
 def stored_schema(
-    spark: SparkSession, path: str, options: Mapping[str, str], location: str
-) -> T.StructType:
-    """The columns that Parquet files have, from the footers of those that came since last time.
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    options: Mapping[str, str],
+    location: str,
+) -> tuple[T.StructType, list[str]]:
+    """The columns that Parquet files have, from the footers of those that came since last time,
+    and the names of the files that have other types.
 
-    What was found before is kept at `location`.
+    What was found before is kept at `location`. Files with other types are read by their own
+    and written to `{location}_cast` as the stream hands them on, one folder for each, which a
+    run that was cut off replaces. The list of them grows with such files alone.
     """
-    schema = load_schema(spark, location) or T.StructType()
+    found, names = load_schema(spark, location) or T.StructType(), f"{location}_other"
     for some in new_files(spark, path, options, f"{location}_files"):
-        found = spark.read.option("mergeSchema", True).parquet(*some).schema
-        types = {f.name.lower(): f.dataType for f in schema}
-        other = [f.name for f in found if types.get(f.name.lower(), f.dataType) != f.dataType]
-        if other:
-            raise ValueError(f"types of {other} differ from those of earlier files in {path}")
-        schema = T.StructType([*schema, *[f for f in found if f.name.lower() not in types]])
-        save_schema(spark, schema, location)
-    return schema
+        for group, own in sorted(_alike(spark, some), key=lambda g: -len(g[0])):
+            if _agree(found, own):
+                found = _with_new(found, own)
+                save_schema(spark, found, location)
+                continue
+            rows, file = spark.read.schema(own).parquet(*group), F.col("_metadata.file_path")
+            rows.select(file.alias("file")).distinct().write.mode("append").parquet(names)
+            rows = rescue_texts(rows.withColumn(METADATA[0], file), schema, options=options)
+            rows = rows.withColumn("file", F.sha2(METADATA[0], 256))
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+                "file"
+            ).parquet(f"{location}_cast")
+    try:
+        other = [r.file for r in spark.read.parquet(names).distinct().collect()]
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        other = []
+    return found, other
 
 
 def stream_csv(
@@ -400,11 +494,21 @@ def stream_parquet(
     """Parquet files as they are stored, then cast to the schema.
 
     Columns that came after the schema was kept are rescued too. `location` is where the
-    stored columns are kept, so that footers are read once.
+    stored columns are kept, so that footers are read once, and the rows of files whose types
+    differ from those of the first ones; these files are left out where they are.
     """
-    stored = stored_schema(spark, path, options, location)
+    cast = T.StructType(
+        [*schema, T.StructField(RESCUED, T.StringType()), T.StructField(METADATA[0], T.StringType())]
+    )
+    spark.createDataFrame([], cast).write.mode("ignore").parquet(f"{location}_cast")
+    stored, other = stored_schema(spark, path, schema, options, location)
     rows = _folder(spark.readStream.format("parquet"), options).schema(stored).load(path)
-    return rescue_texts(_with_file(rows), schema, options=options)
+    if other:
+        rows = rows.filter(~F.col("_metadata.file_path").isin(other))
+    rows = rescue_texts(_with_file(rows), schema, options=options)
+    limit = {k: v for k, v in options.items() if k.lower() == "maxfilespertrigger"}
+    more = _folder(spark.readStream.format("parquet"), limit).schema(cast).load(f"{location}_cast")
+    return rows.unionByName(more.withColumn(METADATA[1], F.current_timestamp()))
 
 
 def stream_binary(spark: SparkSession, path: str, options: Mapping[str, str]) -> DataFrame:

@@ -211,9 +211,56 @@ def test_parquet_footers_are_read_once(spark, tmp_path, monkeypatch):
     spark.range(2).selectExpr("id", "id AS late").write.parquet(f"{tmp_path}/landing/more")
     df = landing.ingest()
     assert df.count() == 5 and df.filter("_rescued_data LIKE '%late%'").count() == 2
-    spark.sql("SELECT 'text' AS id").write.parquet(f"{tmp_path}/landing/odd")
-    with pytest.raises(ValueError, match="id"):
-        landing.ingest()
+
+
+def test_parquet_types_that_differ_are_cast_or_rescued(spark, tmp_path):
+    landing, folder = Landing(spark, tmp_path, "parquet", "n int"), f"{tmp_path}/landing"
+    spark.sql("SELECT 1 AS id, 5 AS n").write.parquet(f"{folder}/a")
+    spark.sql("SELECT 2 AS id, 'six' AS n UNION ALL SELECT 3, '7'").coalesce(1).write.parquet(f"{folder}/b")
+    assert landing.ingest().count() == 3
+    spark.sql("SELECT 4L AS id, 8 AS n").write.parquet(f"{folder}/sub/c")
+    spark.sql("SELECT 5 AS id, 9 AS n, 'x' AS late").write.parquet(f"{folder}/sub/d")
+    spark.sql("SELECT 'six' AS id, '1' AS n").write.parquet(f"{folder}/e")
+    landing.ingest()
+    df = landing.ingest()
+    got = [(r.id, r.n, r._rescued_data and json.loads(r._rescued_data)) for r in df.collect()]
+    assert sorted(got, key=str) == sorted(
+        [
+            (1, 5, None), (2, None, {"n": "six"}), (3, 7, None), (4, 8, None),
+            (5, 9, {"late": "x"}), (None, 1, {"id": "six"}),
+        ],
+        key=str,
+    )
+    assert all(f"{folder}/" in r._ingested_filename for r in df.collect())
+    assert df.select("_ingestion_time").distinct().count() == 2
+
+
+def test_parquet_files_of_other_types_are_cast_once_if_a_run_is_cut_off(spark, tmp_path):
+    landing, folder = Landing(spark, tmp_path, "parquet"), f"{tmp_path}/landing"
+    spark.sql("SELECT 1 AS id").write.parquet(f"{folder}/a")
+    landing.ingest()
+    spark.sql("SELECT 'two' AS id").write.parquet(f"{folder}/b")
+    schema, location = T.StructType.fromDDL("id int"), f"{tmp_path}/schema_stored"
+    # As if the run had ended after the cast and before the record of what was seen.
+    shutil.copytree(f"{location}_files", tmp_path / "before")
+    files.stored_schema(spark, folder, schema, {}, location)
+    shutil.rmtree(f"{location}_files")
+    shutil.copytree(tmp_path / "before", f"{location}_files")
+    spark.sql("SELECT 'three' AS id").write.parquet(f"{folder}/c")
+    df = landing.ingest()
+    rescued = [r._rescued_data for r in df.filter("id IS NULL").collect()]
+    assert sorted(rescued) == ['{"id":"three"}', '{"id":"two"}'] and df.count() == 3
+    assert landing.ingest().count() == 3
+
+
+def test_parquet_types_that_differ_from_the_start_become_common_ones(spark, tmp_path):
+    landing = Landing(spark, tmp_path, "parquet")
+    for i, row in enumerate(("1 AS a, 1 AS b, 1 AS c", "2L AS a, 2.5D AS b, 'x' AS c")):
+        spark.sql(f"SELECT {row}").write.parquet(f"{tmp_path}/landing/{i}")
+    df = landing.ingest()
+    assert [df.schema[c].dataType for c in "abc"] == [T.LongType(), T.DoubleType(), T.StringType()]
+    assert sorted((r.a, r.b, r.c) for r in df.collect()) == [(1, 1.0, "1"), (2, 2.5, "x")]
+    assert df.filter("_rescued_data IS NOT NULL").count() == 0
 
 
 def test_binary_files(spark, tmp_path):
