@@ -1,4 +1,5 @@
 import math
+import random
 import zlib
 from collections import defaultdict
 
@@ -75,3 +76,32 @@ def test_no_more_contexts_than_the_bound(documents, monkeypatch):
     monkeypatch.setattr(language, "CONTEXTS", 50)
     model = language.train(documents)
     assert model.bits.shape[1] <= (1 + 256 + 2 * 50) * 256
+
+
+def test_exact_code_lengths_of_more_contexts_than_are_held(spark):
+    """One language fills the list of held contexts many times over; another has a few texts."""
+    draw = random.Random(9)
+    many = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOP äöü", k=300)) for _ in range(250)]
+    few = {"yy": ["le chat est dans la maison", "la maison du chat"], "zz": ["кот дома", "дом кота и кот"]}
+    rows = [(t, "xx") for t in many] + [(t, k) for k, own in few.items() for t in own]
+    learnt = language.learn(spark.createDataFrame(rows, "text string, lang string"))
+    held = {c for t in many for c in zip(t.encode(), t.encode()[1:], t.encode()[2:])}
+    assert len(held) > 5 * language.CONTEXTS and learnt.counts.count() > 0
+    texts = [*many[:3], *few["yy"], *few["zz"], "кот est zz", "a", "äü la дом" * 30, many[5][:50] * 2]
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, _text string").repartition(3)
+    found = {r["i"]: r["bits"] for r in language.code_lengths(learnt, df).collect()}
+    own = {"xx": many, **few}
+    assert learnt.model.languages == sorted(own)
+    for n, k in enumerate(sorted(own)):
+        taught = [t.encode() for t in own[k]]
+        expected = [plain_bits(taught, t.encode()) for t in texts]
+        assert [found[i][n] for i in range(len(texts))] == pytest.approx(expected, rel=1e-5)
+
+
+def test_held_contexts_change_no_prediction(documents, monkeypatch):
+    every = {r["doc_id"]: r for r in language.predictions(documents).collect()}
+    monkeypatch.setattr(language, "CONTEXTS", 50)
+    for r in language.predictions(documents).collect():
+        whole = every[r["doc_id"]]
+        assert (r["held_out"], r["lang_pred"]) == (whole["held_out"], whole["lang_pred"])
+        assert r["score"] == pytest.approx(whole["score"], rel=1e-3)
