@@ -9,9 +9,9 @@ bytes, goes by its anchor's hash.
 1. Runs that are alike (digest of what they span) are counted together, however many there
    are. A run without a like whose anchor occurs nowhere else has no repeated window.
 2. Where one anchor has different runs, one of each kind is fetched, and the suffixes that
-   start at the anchors are sorted, and the reversed prefixes that end there: multikey
-   quicksort, a word of bytes at a time, down to `SHALLOW` bytes, then blind tries for the
-   groups that are still tied. Windows at one offset are equal if they are neighbours in
+   start at the anchors are sorted, and the reversed prefixes that end there: a library sort
+   in place of multikey quicksort, a word of bytes at a time, down to `SHALLOW` bytes, then
+   blind tries for the groups that are still tied. Windows at one offset are equal if they are neighbours in
    both orders with common prefixes long enough, which the orders' LCPs tell for all runs
    at once.
 3. Runs take their verdicts by anchor and digest; the windows found cover the bytes to go.
@@ -135,8 +135,8 @@ def _digests(data: bytes, first: np.ndarray, last: np.ndarray) -> np.ndarray:
 def _order(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The order of the texts, and the common prefix of each with the one before it.
 
-    Multikey quicksort: texts are split by eight bytes at a time, equal ones go on to the next
-    eight. Blind tries order what is still tied after `SHALLOW` bytes.
+    In place of multikey quicksort, a library sort: texts are sorted by eight bytes at a time,
+    and equal ones go on to the next eight, as there. Blind tries order what is still tied after `SHALLOW` bytes.
     """
     n = len(texts)
     if n == 0:
