@@ -28,7 +28,7 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
@@ -41,6 +41,8 @@ _ESCAPED = re.compile(rf"([<\[])\\(\\*)({CONTROL})")
 _SEGMENT = re.compile(r"<\|turn\|>(.*?)<\|text\|>(.*?)<\|end\|>", re.DOTALL)
 _HOLDER = re.compile("|".join(map(re.escape, PLACEHOLDERS.values())))
 LOSS_ROLE = "assistant"
+# Numbers of turns whose segments are placed together.
+BLOCK = 4096
 
 PARTS = "array<struct<kind string, text string, ref string, tokens int>>"
 ATTACHMENTS = "array<struct<kind string, ref string, at int, tokens int>>"
@@ -197,7 +199,28 @@ NAMES = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "for
 
 
 def conversations(turns: DataFrame) -> DataFrame:
-    """`conv_id` and the formatted conversation as one string."""
+    """`conv_id` and the formatted conversation as one string, which must fit a row; long
+    conversations take `placed_segments`."""
     ordered = F.array_sort(F.collect_list(F.struct("turn", "segment")))
     text = F.array_join(F.transform(ordered, lambda x: x["segment"]), "")
     return turns.groupBy("conv_id").agg(text.alias("formatted"))
+
+
+def placed_segments(turns: DataFrame) -> DataFrame:
+    """The turns, and in `offset` where their segment starts in the formatted conversation.
+
+    Turns are numbers. The sums of blocks of `BLOCK` of them are laid end to end, then the
+    segments of each block. One task has a sum for each block of a conversation, and the rows
+    of a block, one at a time; no string holds more than a segment.
+    """
+    length = F.length("segment").cast("long")
+    rows = turns.withColumn("_block", F.floor(F.col("turn") / BLOCK))
+    blocks = rows.groupBy("conv_id", "_block").agg(F.sum(length).alias("_size"))
+    before = Window.partitionBy("conv_id").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_start", F.coalesce(F.sum("_size").over(before), F.lit(0)))
+    order = Window.partitionBy("conv_id", "_block").orderBy("turn", "segment")
+    inside = F.sum(length).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("_inside", F.coalesce(inside, F.lit(0)))
+    same = F.col("r.conv_id").eqNullSafe(F.col("b.conv_id")) & F.col("r._block").eqNullSafe(F.col("b._block"))
+    offset = (F.col("_start") + F.col("_inside")).alias("offset")
+    return rows.alias("r").join(blocks.alias("b"), same).select(*[f"r.`{c}`" for c in turns.columns], offset)

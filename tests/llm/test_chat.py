@@ -79,3 +79,19 @@ def test_unknown_part_and_empty_table(spark):
     with pytest.raises(PythonException, match="video"):
         chat.format_turns(df, F.col("conv_id"), F.col("turn"), F.col("role"), F.col("parts")).collect()
     assert chat.digests(formatted(spark.createDataFrame([], ROWS))).count() == 0
+
+
+def test_segments_are_placed_as_in_the_whole(spark, monkeypatch):
+    monkeypatch.setattr(chat, "BLOCK", 7)
+    draw = random.Random(8)
+    rows = [(draw.randint(0, 2), i - 20, "user", "x" * draw.randint(0, 9)) for i in range(200)]
+    rows += [(0, None, "user", "no turn"), (0, 5, "user", "again"), (0, 5, "user", "again"), (None, 1, "user", "y"), (None, 90, "user", "z")]
+    turns = formatted(spark.createDataFrame(rows, ROWS).repartition(4))
+    whole = {r[0]: r[1] for r in chat.conversations(turns).collect()}
+    placed = chat.placed_segments(turns)
+    assert placed.columns == [*turns.columns, "offset"]
+    found = {}
+    for r in sorted(placed.collect(), key=lambda r: r["offset"]):
+        assert r["offset"] == len(found.get(r["conv_id"], ""))
+        found[r["conv_id"]] = found.get(r["conv_id"], "") + r["segment"]
+    assert found == whole
