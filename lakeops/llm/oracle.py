@@ -135,9 +135,126 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN ids USING (doc_id)"""
 
+_INTERACTION = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), {_VISIBLE}) AS ws
+  FROM documents
+), marks AS (
+  SELECT doc_id, part, len(ws) < 50 AS a, 100 * len(list_distinct(ws)) < 65 * len(ws) AS b,
+         100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 5 * length(t) AS c,
+         regexp_matches(t, '[#$%&*|]') AS d,
+         coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS e
+  FROM d
+), marked AS (
+  SELECT part, concat(CASE WHEN a THEN 'A' ELSE '' END, CASE WHEN b THEN 'B' ELSE '' END,
+                      CASE WHEN c THEN 'C' ELSE '' END, CASE WHEN d THEN 'D' ELSE '' END,
+                      CASE WHEN e THEN 'E' ELSE '' END) AS fails,
+         coalesce(good, false) AS good, coalesce(bad, false) AS bad
+  FROM marks LEFT JOIN (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good,
+                               bool_or(coalesce(toxic = 1, false)) AS bad
+                        FROM labels GROUP BY doc_id) USING (doc_id)
+), counted AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE bad) AS bad
+  FROM marked GROUP BY part, fails
+), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), orders AS (
+  SELECT concat(a.x, b.x, c.x, d.x, e.x) AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (
+  SELECT filter_order, step, filter_order[step] AS letter, filter_order[1:step - 1] AS before
+  FROM orders, (SELECT unnest(range(1, 6)) AS step)
+), told AS (
+  SELECT *, contains(fails, letter) AS failing,
+         len(list_intersect(string_split(fails, ''), string_split(before, ''))) > 0 AND before <> '' AND fails <> '' AS gone
+  FROM counted, steps
+), totals AS (
+  SELECT part, filter_order, step::INT AS step, letter,
+         coalesce(sum(n) FILTER (WHERE NOT failing AND NOT gone), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (WHERE failing AND NOT gone), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (WHERE failing AND gone), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (WHERE fails = letter), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (WHERE failing AND NOT gone), 0)::BIGINT AS good_lost,
+         coalesce(sum(bad) FILTER (WHERE failing AND NOT gone), 0)::BIGINT AS toxic_lost
+  FROM told GROUP BY part, filter_order, step, letter
+)
+SELECT * EXCLUDE (letter), (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley FROM totals"""
+
+_JACCARD = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, {_VISIBLE}) AS ws FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], ' '))) END AS s
+  FROM d
+), tokens AS (SELECT doc_id, unnest(s) AS t FROM sets
+), shared AS (SELECT t, row_number() OVER () AS k FROM tokens GROUP BY t HAVING count(*) > 1
+), places AS MATERIALIZED (SELECT doc_id, k FROM tokens JOIN shared USING (t)
+), pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+  FROM places x JOIN places y ON x.k = y.k AND x.doc_id < y.doc_id GROUP BY ALL
+), near AS (
+  SELECT a, b FROM pairs JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b
+  WHERE 100 * n >= 90 * (len(x.s) + len(y.s) - n)
+), links AS (SELECT a, b FROM near UNION ALL SELECT b, a FROM near
+), reached AS (
+  SELECT doc_id AS a, doc_id AS b FROM sets
+  UNION SELECT reached.a, links.b FROM reached JOIN links ON links.a = reached.b
+), least AS (SELECT a, min(b) AS component_id FROM reached GROUP BY a)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id FROM sets JOIN least ON a = doc_id"""
+
+# The checksum is taken bit by bit; its polynomial is a fixed value.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::UBIGINT,
+  list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::UBIGINT)),
+  lambda c, x: list_reduce(list_prepend(xor(c, x), list_transform(range(8), lambda i: i::UBIGINT)),
+    lambda y, i: xor(y >> 1, 3988292384::UBIGINT * (y & 1)))), 4294967295::UBIGINT)"""
+
+_TRIE = f"""
+WITH rows AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base, ({_CRC32} % 6)::BIGINT AS h
+  FROM (SELECT DISTINCT conv_id FROM rows)
+), turns AS (
+  SELECT c.conv_id, 0 AS part, pos, role, text FROM convs c JOIN rows r ON r.conv_id = base AND pos <= h
+  UNION ALL
+  SELECT conv_id, 1, pos, role, text FROM convs JOIN rows USING (conv_id) WHERE pos > h
+), lists AS (
+  SELECT conv_id, list(role || chr(31) || text ORDER BY part, pos) FILTER (WHERE role IS NOT NULL) AS seq
+  FROM convs LEFT JOIN turns USING (conv_id) GROUP BY conv_id
+), whole AS (SELECT conv_id, coalesce(seq, []) AS seq FROM lists
+), prefixes AS (
+  SELECT conv_id, d AS depth, seq[1:d] AS prefix, d = len(seq) AS is_end
+  FROM (SELECT conv_id, seq, unnest(range(0, len(seq) + 1)) AS d FROM whole)
+), nodes AS (
+  SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE is_end), '')) AS ends_sha256,
+         CASE WHEN depth = 0 THEN 0
+              ELSE (count(*) - 1) * (length(prefix[-1]) - strpos(prefix[-1], chr(31))) END AS saved
+  FROM prefixes GROUP BY prefix, depth
+), kids AS (
+  SELECT prefix[1:depth - 1] AS prefix, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL
+), full_nodes AS (
+  SELECT nodes.*, coalesce(kids.n, 0) AS n_children FROM nodes LEFT JOIN kids USING (prefix)
+), below AS (
+  SELECT prefix[1:k] AS prefix, sum(saved)::BIGINT AS saved_tokens,
+         count(*) FILTER (WHERE n_children = 0) AS n_leaves
+  FROM (SELECT prefix, saved, n_children, unnest(range(0, depth + 1)) AS k FROM full_nodes) GROUP BY ALL
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves, saved_tokens,
+       n.ends_sha256
+FROM full_nodes n JOIN below USING (prefix)
+LEFT JOIN nodes p ON n.depth > 0 AND p.prefix = n.prefix[1:n.depth - 1]"""
+
 ORACLE: dict[str, str] = {
     "op1_licenses": _LICENSES,
     "op2_quality": _QUALITY,
     "op4_chat": _CHAT,
     "op5_decontamination": _DECONTAMINATION,
+    "op11_interaction": _INTERACTION,
+    "op12_jaccard": _JACCARD,
+    "op13_trie": _TRIE,
 }

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from lakeops.llm import (
     bpe,
     chat,
+    interaction,
+    jaccard,
     language,
     licenses,
     pages,
@@ -20,6 +22,7 @@ from lakeops.llm import (
     sharding,
     simhash,
     suffixes,
+    trie,
     winnowing,
 )
 from lakeops.llm.common import table
@@ -97,6 +100,18 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, distance=4)
 
 
+def op11_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interaction.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_sets(table(spark, sf_dir, "documents"), size=3, percent=90)
+
+
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.shared_prefixes(table(spark, sf_dir, "conversations"), every=100, most=6)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: importable(f)
     for f in (
@@ -110,5 +125,8 @@ QUERIES: dict[str, Query] = {
         op8_suffixes,
         op9_language,
         op10_simhash,
+        op11_interaction,
+        op12_jaccard,
+        op13_trie,
     )
 }
