@@ -11,17 +11,20 @@ _WORDS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 _VISIBLE = r"'[^\x20\x09-\x0D]+'"
 
 
-def _values(pairs: dict[str, str]) -> str:
-    return ", ".join(f"('{label}', '{text}')" for label, text in pairs.items())
+def _values(*rows: tuple[str, ...]) -> str:
+    return ", ".join("(" + ", ".join(f"'{x}'" for x in row) + ")" for row in rows)
 
 
+_PHRASES = _values(*((phrase, label) for phrase, label in PHRASES.items()))
+_TEMPLATES = _values(*((label, t.text, t.needs, t.bars) for label, t in TEMPLATES.items()))
+
 _LICENSES = f"""
 WITH d AS (
   SELECT doc_id, t, regexp_extract_all(t, {_WORDS}) AS ws
   FROM (SELECT doc_id, {_LOWER} AS t FROM documents)
 ), phrases AS (
   SELECT label, string_split(phrase, ' ') AS pw
-  FROM (VALUES {_values(PHRASES)}) AS v(phrase, label)
+  FROM (VALUES {_PHRASES}) AS v(phrase, label)
 ), places AS (
   SELECT doc_id, label, unnest(list_filter(range(1, len(ws) + 1), lambda i: ws[i:i + len(pw) - 1] = pw)) - 1 AS place
   FROM d, phrases
@@ -30,14 +33,21 @@ WITH d AS (
          string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
   FROM places GROUP BY doc_id
 ), templates AS (
-  SELECT label, list_distinct(regexp_extract_all(lower(text), {_WORDS})) AS tw
-  FROM (VALUES {_values(TEMPLATES)}) AS v(label, text)
-), lines AS (
-  SELECT doc_id, list_distinct(regexp_extract_all(line, {_WORDS})) AS lw
-  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)
+  SELECT label, list_distinct(tws) AS tw, (len(tws) + len(tws) // 4)::BIGINT AS size,
+         regexp_extract_all(needs, {_WORDS}) AS needs, regexp_extract_all(bars, {_WORDS}) AS bars
+  FROM (SELECT *, regexp_extract_all(lower(text), {_WORDS}) AS tws
+        FROM (VALUES {_TEMPLATES}) AS v(label, text, needs, bars))
+), found AS (
+  SELECT doc_id, ws, label, tw, size, needs, bars,
+         unnest(list_filter(range(1, len(ws) + 1), lambda i: list_contains(tw, ws[i]))) AS i
+  FROM d, templates WHERE len(list_intersect(ws, tw)) * 100 >= 80 * len(tw)
+), blocks AS (
+  SELECT doc_id, label, tw, needs, bars, ws[i:i + size - 1] AS bw FROM found
 ), contained AS (
-  SELECT doc_id, label, max(len(list_intersect(lw, tw))::DOUBLE / len(tw)) AS part
-  FROM lines, templates WHERE len(list_intersect(lw, tw)) * 100 >= 80 * len(tw)
+  SELECT doc_id, label, max(len(list_intersect(bw, tw))::DOUBLE / len(tw)) AS part
+  FROM blocks
+  WHERE len(list_intersect(bw, tw)) * 100 >= 80 * len(tw) AND len(list_intersect(bw, bars)) = 0
+    AND list_has_all(bw, needs)
   GROUP BY doc_id, label
 ), every AS (
   SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
