@@ -9,11 +9,12 @@ in the output and the tokens it will expand to are recorded. Every turn becomes
 and a conversation is its segments in order of turns, so turns are formatted where they lie
 and only the segments are brought together. A control string inside a text, with any number
 of backslashes after its first character, gets one backslash more there. Control strings
-start with `<` or `[` and hold neither further on, so none can arise across a seam, and taking
-the backslash out again gives the text back.
+start with `<` or `[` and hold neither further on, so none can arise between a text and what the
+template puts beside it; text parts side by side are one text. Taking the backslash out again
+gives the text back.
 
-Conversations are read as sorted streams: whatever a conversation's length, one turn is held
-at a time.
+Conversations are read back as streams of their joined segments: where a turn ends is told by
+the output alone, and whatever a conversation's length, one turn is held at a time.
 
 Defined cases: a null role, text or part is empty; turns alike in number go by their content;
 a null conversation id is an id like others; an unknown kind of part stops the run with its
@@ -56,13 +57,23 @@ def unescape(text: str) -> str:
     return _ESCAPED.sub(r"\1\2\3", text)
 
 
+def _texts(content: str) -> str:
+    """The texts of a content without its placeholders, each as it was."""
+    return "".join(unescape(t) for t in _HOLDER.split(content))
+
+
 @dataclass
 class Flattener:
-    """Visits the parts of a message and gathers its content and attachments."""
+    """Visits the parts of a message and gathers its content and attachments.
+
+    Text is held until another part or the end comes, as a control string may begin in one part
+    and end in the next.
+    """
 
     out: list[str] = field(default_factory=list)
     size: int = 0
     attachments: list[dict] = field(default_factory=list)
+    held: list[str] = field(default_factory=list)
 
     def visit(self, part: dict) -> None:
         kind = part["kind"] or "text"
@@ -71,14 +82,24 @@ class Flattener:
             raise ValueError(f"unknown kind of content part: {kind}")
         method(part)
 
+    def content(self) -> str:
+        self._flush()
+        return "".join(self.out)
+
     def _add(self, text: str) -> None:
         self.out.append(text)
         self.size += len(text)
 
+    def _flush(self) -> None:
+        if self.held:
+            self._add(escape("".join(self.held)))
+            self.held = []
+
     def visit_text(self, part: dict) -> None:
-        self._add(escape(part["text"] or ""))
+        self.held.append(part["text"] or "")
 
     def _attach(self, part: dict) -> None:
+        self._flush()
         kind = part["kind"]
         tokens = EXPANDED[kind] if part["tokens"] is None else part["tokens"]
         self.attachments.append({"kind": kind, "ref": part["ref"], "at": self.size, "tokens": tokens})
@@ -113,7 +134,7 @@ def format_turns(df: DataFrame, conv_id: Column, turn: Column, role: Column, par
                 for part in parts.as_py() or ():
                     if part is not None:
                         visitor.visit(part)
-                content = "".join(visitor.out)
+                content = visitor.content()
                 end = len(head) + len(content)
                 rows.append(
                     (f"{head}{content}{END}", len(head) if name == LOSS_ROLE else end, end,
@@ -139,10 +160,34 @@ def format_turns(df: DataFrame, conv_id: Column, turn: Column, role: Column, par
     )
 
 
+@dataclass
+class Reader:
+    """Reads the turns of a conversation from its output, given piece by piece."""
+
+    rest: str = ""
+
+    def feed(self, piece: str) -> Iterator[tuple[str, str]]:
+        """Role and text of the turns that end in the piece; placeholders are left out."""
+        self.rest += piece
+        while found := _SEGMENT.match(self.rest):
+            self.rest = self.rest[found.end() :]
+            role, content = found.groups()
+            yield unescape(role), _texts(content)
+
+
+def read_conversation(formatted: str) -> list[tuple[str, str]]:
+    """Role and text of each turn of a formatted conversation."""
+    reader = Reader()
+    turns = list(reader.feed(formatted))
+    if reader.rest:
+        raise ValueError("the output does not end with a turn")
+    return turns
+
+
 def read_segment(segment: str) -> tuple[str, str]:
-    """Role and text of a segment; placeholders are left out."""
-    role, content = _SEGMENT.fullmatch(segment).groups()
-    return unescape(role), unescape(_HOLDER.sub("", content))
+    """Role and text of a segment."""
+    [turn] = read_conversation(segment)
+    return turn
 
 
 def digests(turns: DataFrame) -> DataFrame:
@@ -152,7 +197,9 @@ def digests(turns: DataFrame) -> DataFrame:
         now, state, done = None, None, []
 
         def closed() -> tuple:
-            n, every, chars, loss, size, attached, expanded = state
+            n, every, chars, loss, size, attached, expanded, reader = state
+            if reader.rest:
+                raise ValueError("the output does not end with a turn")
             return (now[0], n, every.hexdigest(), chars, loss.hexdigest(), size, attached, expanded)
 
         def made() -> pa.RecordBatch:
@@ -167,11 +214,11 @@ def digests(turns: DataFrame) -> DataFrame:
                 if now is None or now[0] != conv:
                     if now is not None:
                         done.append(closed())
-                    now, state = (conv,), [0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0, 0]
-                role, text = read_segment(segment)
-                state[0] += 1
-                state[1].update(f"{role}\n{text}\n".encode())
-                learnt = unescape(_HOLDER.sub("", segment[low:high]))
+                    now, state = (conv,), [0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0, 0, Reader()]
+                for role, text in state[7].feed(segment):
+                    state[0] += 1
+                    state[1].update(f"{role}\n{text}\n".encode())
+                learnt = _texts(segment[low:high])
                 state[2] += len(learnt)
                 state[3].update(learnt.encode())
                 state[4] += len(segment)

@@ -95,3 +95,43 @@ def test_segments_are_placed_as_in_the_whole(spark, monkeypatch):
         assert r["offset"] == len(found.get(r["conv_id"], ""))
         found[r["conv_id"]] = found.get(r["conv_id"], "") + r["segment"]
     assert found == whole
+
+
+def test_text_parts_cut_anywhere(spark):
+    """Control strings that begin in one part and end in the next, beside other parts or not."""
+    draw, rows = random.Random(12), []
+    strings = [*chat.PLACEHOLDERS.values(), chat.TURN, chat.TEXT, chat.END, "</s>", "<s>", "[INST]", "[/INST]", "<", "[", "\\", "a"]
+    for conv in range(60):
+        for turn in range(draw.randint(1, 4)):
+            text = "".join(draw.choices(strings, k=draw.randint(0, 6)))
+            text = "".join(c + "\\" * draw.randint(0, 2) if c in "<[" and draw.random() < 0.3 else c for c in text)
+            cuts = sorted(draw.randint(0, len(text)) for _ in range(draw.randint(0, 4)))
+            parts = [("text", text[a:b], None, None) for a, b in zip([0, *cuts], [*cuts, len(text)])]
+            for _ in range(draw.randint(0, 2)):
+                parts.insert(draw.randint(0, len(parts)), ("image", None, "ref", 3))
+            rows.append((conv, turn, draw.choice(["user", "assistant", "<|te"]), parts, text))
+    schema = f"conv_id long, turn long, role string, parts {chat.PARTS}, text string"
+    df = spark.createDataFrame(rows, schema)
+    turns = chat.format_turns(df, *[F.col(c) for c in ("conv_id", "turn", "role", "parts")])
+    assert digests(turns) == plain([(c, t, role, text) for c, t, role, _, text in rows])
+    whole = {r["conv_id"]: r["formatted"] for r in chat.conversations(turns).collect()}
+    for conv in whole:
+        said = [(role, text) for c, _, role, _, text in rows if c == conv]
+        assert chat.read_conversation(whole[conv]) == said
+        for piece in (1, 7):
+            reader, found = chat.Reader(), []
+            for at in range(0, len(whole[conv]), piece):
+                found += reader.feed(whole[conv][at : at + piece])
+            assert found == said and not reader.rest
+
+
+def test_the_probes_of_a_seam(spark):
+    parts = [[("text", "a <", None, None), ("text", "|image|>", None, None)],
+             [("text", "see <", None, None), ("text", "|end|><|turn|>user<|text|>x", None, None)]]
+    rows = [(i, 0, "assistant", p) for i, p in enumerate(parts)]
+    df = spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts {chat.PARTS}")
+    turns = chat.format_turns(df, *[F.col(c) for c in ("conv_id", "turn", "role", "parts")])
+    found = {r["conv_id"]: (r["n_turns"], r["loss_chars"]) for r in chat.digests(turns).collect()}
+    assert found == {0: (1, 11), 1: (1, 32)}
+    with pytest.raises(ValueError, match="end with a turn"):
+        chat.read_conversation("<|turn|>user<|text|>never ends")
