@@ -6,9 +6,10 @@ are drawn first; then each block permutes its own rows and deals them out by the
 and each shard permutes what it gets. Only block sizes and counts pass through the driver:
 one block for every `BLOCK_ROWS` rows.
 
-The permutations order rows by a hash of their values and a seed, so a task that runs again
-after a lost executor deals the same rows to the same places. Blocks are hash ranges of
-the same values, so no block depends on how files were split.
+The permutations order rows by a hash of their values, their number among equal rows and a seed,
+so a task that runs again after a lost executor deals the same rows to the same places. Blocks are
+hash classes of the same, so no block depends on how files were split, and equal rows, however
+many, are spread over all blocks. They are numbered by counting them, not by sorting.
 
 Defined cases: null texts have size 1; null ids are values like others; rows that repeat are
 dealt out one by one; fewer rows than shards leave shards empty; an empty table gives none.
@@ -27,6 +28,7 @@ from lakeops.llm.common import stored
 
 BLOCK_ROWS = 1_000_000
 MIN_BLOCKS = 64
+EQUAL_ROWS = 10_000
 
 
 def hypergeometric(rng: random.Random, good: int, bad: int, draws: int) -> int:
@@ -101,13 +103,25 @@ def _counts(df: DataFrame, *by: str) -> dict[tuple, int]:
     return {tuple(r[:-1]): r[-1] for r in df.groupBy(*by).count().collect()}
 
 
+def _numbered(df: DataFrame) -> DataFrame:
+    """`df` with `_k`, a number from 0 among rows that are equal."""
+    values = [F.col(f"`{c}`") for c in df.columns]
+    counted = df.groupBy(*values).agg(F.count("*").alias("_n"))
+    first = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(EQUAL_ROWS).cast("long")))
+    # Pieces of a number of equal rows are made into rows each in its own task.
+    pieces = counted.select("*", first.alias("_from")).repartition(*values, "_from")
+    upto = F.least(F.col("_n"), F.col("_from") + EQUAL_ROWS) - 1
+    return pieces.select(*values, F.explode(F.sequence("_from", upto)).alias("_k"))
+
+
 def shuffle_into_shards(df: DataFrame, shards: int = 8, seed: int = 0) -> DataFrame:
     """`df` with `shard` and `slot`, gapless from 0 in each shard; sizes are one apart at most.
 
     `df` should hold what identifies a row and little else: all of its columns are moved.
     """
     columns = df.columns
-    values = [F.col(f"`{c}`") for c in columns]
+    df = stored(_numbered(df), "numbered")
+    values = [F.col(f"`{c}`") for c in df.columns]
     rows = df.count()
     n_blocks = max(MIN_BLOCKS, math.ceil(rows / BLOCK_ROWS))
     first, second = F.xxhash64(F.lit(seed), *values), F.xxhash64(F.lit(seed + 1), *values)
@@ -137,7 +151,7 @@ def shuffle_into_shards(df: DataFrame, shards: int = 8, seed: int = 0) -> DataFr
     again = Window.partitionBy("shard", "_b").orderBy("_p", *values)
     start = F.get(F.get(starts, F.col("shard")), F.col("_b").cast("int"))
     slot = start + F.row_number().over(again) - 1
-    return sent.select(*values, "shard", slot.cast("long").alias("slot"))
+    return sent.select(*values[: len(columns)], "shard", slot.cast("long").alias("slot"))
 
 
 def shard_documents(df: DataFrame, shards: int = 8, seed: int = 0) -> DataFrame:

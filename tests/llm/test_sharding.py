@@ -4,6 +4,7 @@ from collections import Counter
 
 import pytest
 from conftest import texts_of
+from pyspark.sql import functions as F
 
 from lakeops.llm import sharding
 
@@ -60,3 +61,49 @@ def test_neighbours_part(documents):
     rows = sorted(shards_of(documents), key=lambda r: r["doc_id"])
     pairs = sum(a["shard"] == b["shard"] for a, b in zip(rows, rows[1:]))
     assert pairs < 0.25 * len(rows)
+
+
+def plain_shuffle(df, shards, seed):
+    """The same shuffle over a list, with the draws of the library and the hashes of Spark."""
+    numbered, seen = [], Counter()
+    for values in sorted(map(tuple, df.collect()), key=str):
+        numbered.append((*values, seen[values]))
+        seen[values] += 1
+    spark = df.sparkSession
+    held = spark.createDataFrame(numbered, f"{df._jdf.schema().toDDL()}, _k long")
+    hashes = [F.xxhash64(F.lit(s), *held.columns) for s in (seed, seed + 1)]
+    rows = [tuple(r) for r in held.select("*", *hashes).collect()]
+    n = max(sharding.MIN_BLOCKS, -(-len(rows) // sharding.BLOCK_ROWS))
+    blocks = [[r for r in rows if r[-2] % n == b] for b in range(n)]
+    sizes = sharding.shard_sizes(len(rows), shards)
+    matrix = sharding.communication_matrix([len(b) for b in blocks], sizes, seed)
+    dealt = [[] for _ in range(shards)]
+    for block, counts in zip(blocks, matrix):
+        block.sort(key=lambda r: (r[-2], r[:-2]))
+        for s, count in enumerate(counts):
+            dealt[s] += block[:count]
+            del block[:count]
+    parts, out = max(1, n // shards), []
+    for s, own in enumerate(dealt):
+        own.sort(key=lambda r: (r[-1] % parts, r[-1], r[:-2]))
+        out += [(*r[:-3], s, slot) for slot, r in enumerate(own)]
+    return sorted(out, key=str)
+
+
+def test_same_as_the_plain_shuffle(spark, documents):
+    light = documents.select("doc_id", F.crc32(F.col("text").cast("binary")).alias("c"))
+    equal = light.unionAll(spark.range(700).select(F.lit(7).cast("long"), F.lit(1).cast("long")))
+    for df in (light, equal):
+        found = sharding.shuffle_into_shards(df, 5, 11).collect()
+        assert sorted(map(tuple, found), key=str) == plain_shuffle(df, 5, 11)
+
+
+def test_equal_rows_are_spread(spark, monkeypatch):
+    """A table of one row many times: its copies lie in all blocks and all shards."""
+    monkeypatch.setattr(sharding, "EQUAL_ROWS", 100)
+    df = spark.range(5000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("same").alias("text"))
+    numbered = sharding._numbered(df.select("doc_id"))
+    assert sorted(r["_k"] for r in numbered.collect()) == list(range(5000))
+    rows = sharding.shard_documents(df, 8, 3).collect()
+    assert set(Counter(r["shard"] for r in rows).values()) == {625}
+    assert all(sorted(r["slot"] for r in rows if r["shard"] == s) == list(range(625)) for s in range(8))
