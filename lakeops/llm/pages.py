@@ -5,16 +5,18 @@ or of the main element belong to the text; menus, headers, footers, sidebars, no
 adverts, forms and comments do not. Forms and class words are doubtful, as they also stand on
 what holds a whole page: an article or main element inside one is text where the page has no
 article elsewhere, and if nothing else is left, the text least deep in such elements counts.
-A page without a sure article is decided by its host: the
-token streams of the host's pages, outside articles, are laid end to end, and every substring
-of `LONG` tokens that `SHARE` of its different pages have, `PAGES` of them at least, is
-boilerplate, as are the tokens it covers; the runs that are left are the text. So a sentence
-that is quoted, or an article under two addresses, stays.
+The host is the other signal, on every page. Blocks outside articles are laid end to end with a
+separator between them, and every substring of `LONG` tokens in a block, or shorter block as a
+whole, that `SHARE` of the host's different pages have, `PAGES` of them at least, is boilerplate,
+as are the tokens it covers. A page without a sure article is what is left of its blocks then, so
+a sentence that is quoted, or an article under two addresses, stays. Of an article a block goes
+if it is long and all of it is boilerplate that the host has outside articles. Of a host with two
+pages what both have is boilerplate, unless next to nothing else is left of one.
 
 Only prefixes of `LONG` tokens of the suffixes matter for that: suffixes with such a prefix
 in common stand together in the host's sorted suffix array. They are made one for each page,
 host and prefix, and counted by partial sums, so a host or a menu with a third of all pages
-makes no large group. Pages alike in their HTML count as one page.
+makes no large group. Pages alike in their HTML count as one page. HTML is parsed once.
 
 Defined cases: a null page has an empty text; a null or odd address is a host of its own;
 unclosed tags are closed by what follows or by the end; an unfinished tag at the end is
@@ -33,10 +35,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeops.llm.common import stored
+
 LONG = 8
-# A run is boilerplate if this share of the host's pages have it, and so many at least.
+# A run is boilerplate if this share of the host's pages have it, and so many at least, or both
+# of two pages. Of two pages each keeps so many tokens, or else it stays as it is.
 SHARE = 0.3
 PAGES = 3
+LEFT = 4
 # Elements by what they are (fixed values of HTML).
 HIDDEN = {"head", "script", "style", "noscript", "template", "svg", "iframe", "object", "canvas", "math"}
 RAW = {"script", "style", "textarea", "title", "iframe", "noscript"}
@@ -180,20 +186,21 @@ def blocks(page: str) -> list[tuple[int, str]]:
     return out
 
 
-def decided(found: list[tuple[int, str]]) -> str | None:
-    """The text of a page that markup decides, or that has none; else None."""
-    kinds = {kind for kind, _ in found}
+def _used(kinds: list[int]) -> tuple[int, ...] | None:
+    """The kinds of the blocks that are the text by markup; None if the host decides."""
     if TRUSTED in kinds:
-        use = (TRUSTED, MAIN)
-    elif MAIN in kinds or OPEN not in kinds and FOUND in kinds:
-        use = (FOUND, MAIN)
-    else:
-        return None if kinds - {OUT} else ""
-    return "\n".join(t for kind, t in found if kind in use)
+        return (TRUSTED, MAIN)
+    if MAIN in kinds or OPEN not in kinds and FOUND in kinds:
+        return (FOUND, MAIN)
+    return None if set(kinds) - {OUT} else ()
 
 
-def _stream(found: list[tuple[int, str]]) -> list[str]:
-    return [w for kind, t in found if kind not in SURE for w in t.split()]
+def _units(words: list[str]) -> list[tuple[int, str]]:
+    """Place and text of the substrings by which a block meets others; the separator stands
+    around a block that is shorter than `LONG`."""
+    if len(words) < LONG:
+        return [(0, f"\n{' '.join(words)}\n")]
+    return [(at, " ".join(words[at : at + LONG])) for at in range(len(words) - LONG + 1)]
 
 
 def _keyed(df: DataFrame) -> DataFrame:
@@ -202,95 +209,108 @@ def _keyed(df: DataFrame) -> DataFrame:
     return df.select("page_id", "url", body.alias("_html"), F.xxhash64(body).alias("_hash"), host.alias("_host"))
 
 
-def _shared(pages: DataFrame) -> DataFrame:
-    """Per host and page the places of its stream whose next `LONG` tokens are boilerplate."""
+def _parsed(df: DataFrame) -> DataFrame:
+    """Per page `kinds` and `texts` of its blocks, beside its host and a hash of its HTML."""
+    pages = _keyed(df)
+    ids = ", ".join(f"{c} {pages.schema[c].dataType.simpleString()}" for c in ("page_id", "url"))
+    names = ["page_id", "url", "_host", "_hash", "kinds", "texts"]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [blocks(p) for p in b.column("_html").to_pylist()]
+            kinds = pa.array([[k for k, _ in f] for f in found], pa.list_(pa.int32()))
+            texts = pa.array([[t for _, t in f] for f in found], pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in names[:4]], kinds, texts], names)
+
+    return pages.mapInArrow(run, f"{ids}, _host string, _hash long, kinds array<int>, texts array<string>")
+
+
+def _shared(parsed: DataFrame) -> DataFrame:
+    """Per host and page the blocks and places whose substrings are boilerplate of the host."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows, places, texts = [], [], []
-            for i, page in enumerate(b.column("_html").to_pylist()):
-                words = _stream(blocks(page))
-                for at in range(len(words) - LONG + 1):
-                    rows.append(i)
-                    places.append(at)
-                    texts.append(" ".join(words[at : at + LONG]))
-                if len(texts) >= 50_000 or i == b.num_rows - 1:
+            rows, found = [], []
+            pages = zip(b.column("kinds").to_pylist(), b.column("texts").to_pylist())
+            for i, (kinds, texts) in enumerate(pages):
+                used = _used(kinds)
+                for n, (kind, text) in enumerate(zip(kinds, texts)):
+                    words, sure = text.split(), kind in SURE
+                    # Blocks of an article only ask, and only long ones.
+                    if sure and (used is None or kind not in used or len(words) < LONG):
+                        continue
+                    found.extend((n, at, sure, unit) for at, unit in _units(words))
+                rows.extend([i] * (len(found) - len(rows)))
+                if len(found) >= 50_000 or i == b.num_rows - 1:
                     keys = [b.column(c).take(pa.array(rows, pa.int64())) for c in ("_host", "_hash")]
+                    cols = list(zip(*found)) if found else [()] * 4
+                    types = [pa.int32(), pa.int32(), pa.bool_(), pa.string()]
                     yield pa.RecordBatch.from_arrays(
-                        [*keys, pa.array(places, pa.int32()), pa.array(texts, pa.string())],
-                        ["_host", "_hash", "place", "prefix"],
+                        [*keys, *[pa.array(c, t) for c, t in zip(cols, types)]],
+                        ["_host", "_hash", "block", "place", "sure", "prefix"],
                     )
-                    rows, places, texts = [], [], []
+                    rows, found = [], []
 
-    suffixes = pages.select("_host", "_hash", "_html").mapInArrow(
-        run, "_host string, _hash long, place int, prefix string"
+    suffixes = parsed.select("_host", "_hash", "kinds", "texts").mapInArrow(
+        run, "_host string, _hash long, block int, place int, sure boolean, prefix string"
     )
-    suffixes = suffixes.select("_host", "_hash", "place", F.xxhash64("prefix").alias("p"), F.hash("prefix").alias("q"))
-    counts = suffixes.select("_host", "p", "q", "_hash").distinct()
-    counts = counts.groupBy("_host", "p", "q").agg(F.count("*").alias("n")).filter(F.col("n") >= PAGES)
-    hosts = pages.select("_host", "_hash").distinct().groupBy("_host").agg(F.count("*").alias("pages"))
-    several = counts.join(hosts, "_host").filter(F.col("n") >= SHARE * F.col("pages"))
-    several = several.select("_host", "p", "q")
+    p, q = F.xxhash64("prefix").alias("p"), F.hash("prefix").alias("q")
+    suffixes = suffixes.select("_host", "_hash", "block", "place", "sure", p, q)
+    counts = suffixes.filter(~F.col("sure")).select("_host", "p", "q", "_hash").distinct()
+    counts = counts.groupBy("_host", "p", "q").agg(F.count("*").alias("n")).filter("n > 1")
+    hosts = parsed.select("_host", "_hash").distinct().groupBy("_host").agg(F.count("*").alias("pages"))
+    enough = (F.col("n") >= SHARE * F.col("pages")) & (F.col("n") >= F.least(F.lit(PAGES), F.col("pages")))
+    several = counts.join(stored(hosts, "hosts"), "_host").filter(enough)
+    several = stored(several.select("_host", "p", "q", (F.col("pages") == 2).alias("two")), "boilerplate")
     found = suffixes.join(several, ["_host", "p", "q"])
-    return found.groupBy("_host", "_hash").agg(F.collect_set("place").alias("places"))
+    return found.groupBy("_host", "_hash").agg(
+        F.collect_set(F.struct("block", "place")).alias("places"), F.max("two").alias("two")
+    )
 
 
-def _without_shared(found: list[tuple[int, str]], places: list[int]) -> str:
-    """What is left of the open blocks without the tokens that shared substrings cover.
+def _covered(texts: list[str], places: list[dict]) -> list[np.ndarray]:
+    """For each block which of its tokens boilerplate covers."""
+    gone = [np.zeros(len(t.split()), bool) for t in texts]
+    for p in places:
+        gone[p["block"]][p["place"] : p["place"] + LONG] = True
+    return gone
+
 
-    Without open blocks those count that are least deep in doubtful elements.
-    """
+def page_text(kinds: list[int], texts: list[str], places: list[dict], two: bool = False) -> str:
+    """The text of a page by markup and by what its host repeats."""
+    gone, used = _covered(texts, places), _used(kinds)
+    if used is not None:
+        kept = (t for k, t, g in zip(kinds, texts, gone) if k in used and not (len(g) and g.all()))
+        return "\n".join(kept)
+    # Without open blocks those count that are least deep in doubtful elements.
     open_kind = OPEN
-    if not any(kind in (OPEN, FOUND) for kind, _ in found):
-        open_kind = min((kind for kind, _ in found if kind >= DOUBT), default=OPEN)
-    n = len(_stream(found))
-    gone = np.zeros(n, bool)
-    for p in places:
-        gone[p : p + LONG] = True
-    out, at = [], 0
-    for kind, text in found:
-        words = text.split()
+    if OPEN not in kinds and FOUND not in kinds:
+        open_kind = min((k for k in kinds if k >= DOUBT), default=OPEN)
+    left = []
+    for kind, text, g in zip(kinds, texts, gone):
         if kind == FOUND:
-            out.append(text)
-        elif kind not in SURE:
-            left = [w for w, g in zip(words, gone[at : at + len(words)]) if not g]
-            at += len(words)
-            if kind == open_kind and left:
-                out.append(" ".join(left))
-    return "\n".join(out)
+            left.append(text)
+        elif kind == open_kind:
+            left.append(" ".join(w for w, covered in zip(text.split(), g) if not covered))
+    if two and places and sum(len(t.split()) for t in left) < LEFT:
+        return page_text(kinds, texts, [])
+    return "\n".join(t for t in left if t)
 
 
 def main_text(df: DataFrame) -> DataFrame:
     """One row per page: `page_id`, `url`, its `text` and its code points."""
-    pages = _keyed(df)
-    ids = ", ".join(f"{c} {pages.schema[c].dataType.simpleString()}" for c in ("page_id", "url"))
+    parsed = stored(_parsed(df), "pages")
+    ids = ", ".join(f"{c} {parsed.schema[c].dataType.simpleString()}" for c in ("page_id", "url"))
 
-    def first(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = [decided(blocks(p)) for p in b.column("_html").to_pylist()]
-            # What is not decided yet goes on with its HTML.
-            again = [p if t is None else None for p, t in zip(b.column("_html").to_pylist(), texts)]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(c) for c in ("page_id", "url", "_host", "_hash")]
-                + [pa.array(texts, pa.string()), pa.array(again, pa.string())],
-                ["page_id", "url", "_host", "_hash", "text", "_html"],
-            )
-
-    def second(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [
-                _without_shared(blocks(p), places or [])
-                for p, places in zip(b.column("_html").to_pylist(), b.column("places").to_pylist())
-            ]
+            pages = zip(*[b.column(c).to_pylist() for c in ("kinds", "texts", "places", "two")])
+            texts = [page_text(k, t, places or [], bool(two)) for k, t, places, two in pages]
             yield pa.RecordBatch.from_arrays(
-                [b.column("page_id"), b.column("url"), pa.array(texts, pa.string())],
-                ["page_id", "url", "text"],
+                [b.column("page_id"), b.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"]
             )
 
-    parsed = pages.mapInArrow(first, f"{ids}, _host string, _hash long, text string, _html string")
-    sure = parsed.filter(F.col("text").isNotNull()).select("page_id", "url", "text")
-    rest = parsed.filter(F.col("text").isNull()).select("page_id", "url", "_host", "_hash", "_html")
-    rest = rest.join(_shared(pages), ["_host", "_hash"], "left")
-    rest = rest.select("page_id", "url", "_html", "places").mapInArrow(second, f"{ids}, text string")
-    both = sure.unionByName(rest)
-    return both.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+    shared = stored(_shared(parsed), "shared")
+    rows = parsed.join(shared, ["_host", "_hash"], "left")
+    rows = rows.select("page_id", "url", "kinds", "texts", "places", "two").mapInArrow(run, f"{ids}, text string")
+    return rows.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

@@ -102,3 +102,27 @@ def test_copies_and_quotes_on_hosts_without_articles(spark):
     assert all(found[i] == f"{i} is the number of this page" for i in range(20))
     assert all(found[i] == f"{i} says {quote} and ends" for i in (22, 23))
     assert found[30].endswith(copy) and found[31].endswith(copy)
+
+
+def test_blocks_do_not_run_into_each_other(spark):
+    page = "<div>menu</div><p>Page {} text is here</p><div>Copyright 2024 Us</div>"
+    found = texts(spark, [(i, f"http://a/{i}", page.format(i)) for i in range(9)])
+    assert found == {i: f"Page {i} text is here" for i in range(9)}
+
+
+def test_hosts_of_two_pages(spark):
+    page = "<div>Start News Imprint</div><p>{}</p><div>Copyright by the owner of this small site, all rights</div>"
+    rows = [(1, "http://a/1", page.format("The first text here")), (2, "http://a/2", page.format("And the second text"))]
+    assert texts(spark, rows) == {1: "The first text here", 2: "And the second text"}
+
+
+def test_the_host_decides_inside_articles_too(spark, monkeypatch):
+    """A notice that stands outside the article on most pages and inside it on one."""
+    notice = "Subscribe to our newsletter and never miss a story from us again"
+    line = "This line of more than eight words stands in every single article here"
+    outside = "<article><p>Text {}</p><p>" + line + "</p></article><div>" + notice + "</div>"
+    rows = [(i, f"http://a/{i}", outside.format(i)) for i in range(6)]
+    rows += [(6, "http://a/6", f"<article><p>Text 6</p><p>{notice}</p><p>{line}</p></article>")]
+    assert texts(spark, rows) == {i: f"Text {i}\n{line}" for i in range(7)}
+    monkeypatch.setattr(pages, "PAGES", 100)
+    assert texts(spark, rows)[6] == f"Text 6\n{notice}\n{line}"
