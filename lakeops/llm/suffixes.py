@@ -9,15 +9,17 @@ bytes, goes by its anchor's hash.
 1. Runs that are alike (digest of what they span) are counted together, however many there
    are. A run without a like whose anchor occurs nowhere else has no repeated window.
 2. Where one anchor has different runs, one of each kind is fetched, and the suffixes that
-   start at the anchors are sorted, and the reversed prefixes that end there: a library sort
-   in place of multikey quicksort, a word of bytes at a time, down to `SHALLOW` bytes, then
-   blind tries for the groups that are still tied. Windows at one offset are equal if they are neighbours in
+   start at the anchors are sorted, and the reversed prefixes that end there: by multikey
+   quicksort down to `SHALLOW` bytes, then by blind tries for the groups that are still tied. Windows at one offset are equal if they are neighbours in
    both orders with common prefixes long enough, which the orders' LCPs tell for all runs
    at once.
 3. Runs take their verdicts by anchor and digest; the windows found cover the bytes to go.
 
-An anchor with over `MANY` different runs is not sorted in one task: its windows are counted
-by digest, which partial aggregation spreads.
+An anchor with over `MANY` different runs is not sorted in one task. Its windows are dealt out by
+the bytes next to the anchor: those with up to `STEP` different numbers of bytes before it share
+all bytes between their ends but these, and windows that differ there meet in no bucket. The
+buckets are sorted like anchors. One that is still longer is dealt out by single offsets, where
+all windows of a bucket are equal and nothing is left to sort.
 
 Defined cases: null and short texts lose nothing; a row that repeats loses what it shares with
 its like; matches never cross texts; an empty table gives no rows; other columns are not
@@ -28,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -42,6 +45,7 @@ LENGTH = 200
 GRAM = 48
 SHALLOW = 64
 MANY = 20_000
+STEP = 16
 # Bytes of runs that are sorted at once.
 CHUNK = 8 << 20
 # Windows that are hashed at once.
@@ -135,29 +139,15 @@ def _digests(data: bytes, first: np.ndarray, last: np.ndarray) -> np.ndarray:
 def _order(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The order of the texts, and the common prefix of each with the one before it.
 
-    In place of multikey quicksort, a library sort: texts are sorted by eight bytes at a time,
-    and equal ones go on to the next eight, as there. Blind tries order what is still tied after `SHALLOW` bytes.
+    Multikey quicksort down to `SHALLOW` bytes; blind tries order what is still tied then.
     """
     n = len(texts)
     if n == 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    words = SHALLOW // 8
     lengths = np.array([len(t) for t in texts], np.int64)
     heads = np.frombuffer(b"".join([t[:SHALLOW].ljust(SHALLOW, b"\0") for t in texts]), ">u8")
-    heads = heads.reshape(n, words)
-    order, group = np.arange(n), np.zeros(n, np.int64)
-    tied = np.ones(n, bool)
-    for w in range(words):
-        at = np.flatnonzero(tied)
-        if not len(at):
-            break
-        some = order[at]
-        order[at] = some[np.lexsort([heads[some, w], group[at]])]
-        key = heads[order, w]
-        new = np.r_[True, (group[1:] != group[:-1]) | (key[1:] != key[:-1])]
-        group = np.cumsum(new)
-        size = np.bincount(group)[group]
-        tied = size > 1
+    heads = heads.reshape(n, SHALLOW // 8).astype(np.uint64)
+    order, group = _multikey_quicksort(heads)
     lcp = np.zeros(n, np.int64)
     a, b = heads[order[1:]], heads[order[:-1]]
     same = (a.astype(">u8").view(np.uint8) == b.astype(">u8").view(np.uint8)).reshape(n - 1, SHALLOW)
@@ -174,6 +164,45 @@ def _order(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return order, lcp
 
 
+def _multikey_quicksort(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of rows of words, and for each place a number that tied rows share.
+
+    Each group of rows that agree in the words before is split by the word of its middle row into
+    less, equal and greater; the equal ones go on to the next word. All groups are split in step:
+    a row's new place is that of its part of the group and its rank there, by running counts.
+    """
+    n, words = keys.shape
+    order, group, depth = np.arange(n), np.zeros(n, np.int64), np.zeros(n, np.int64)
+    while True:
+        size = np.bincount(group)
+        at = np.flatnonzero((size[group] > 1) & (depth < words))
+        if not len(at):
+            return order, group
+        own = group[at]
+        new = np.r_[True, own[1:] != own[:-1]]
+        start = np.flatnonzero(new)
+        part = np.cumsum(new) - 1
+        key = keys[order[at], depth[at]]
+        pivot = key[start + size[own[start]] // 2][part]
+        side = np.where(key < pivot, 0, np.where(key == pivot, 1, 2))
+        place = np.empty(len(at), np.int64)
+        before = start.copy()
+        for s in range(3):
+            hit = side == s
+            upto = np.cumsum(hit)
+            within = upto - (upto[start] - hit[start])[part]
+            place[hit] = (before[part] + within - 1)[hit]
+            before += np.add.reduceat(hit, start)
+        order[at[place]] = order[at].copy()
+        sides = np.empty_like(side)
+        sides[place] = side
+        depth[at] += sides == 1
+        # Groups are numbered anew by place, each split into its parts.
+        code = np.full(n, -1)
+        code[at] = sides
+        group = np.cumsum(np.r_[False, (group[1:] != group[:-1]) | (code[1:] != code[:-1])])
+
+
 def _blind_trie(members: list[int], texts: list[bytes]) -> tuple[list[int], list[int]]:
     """Members in order and the common prefixes of neighbours.
 
@@ -283,10 +312,13 @@ def _spans(mask: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _keyed(df: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """A text goes by its id and a 128-bit digest, so rows alike in id do not meet by chance."""
     body = F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")
-    return df.select(
-        F.col(f"`{doc_id}`").alias("_id"), F.hash(body).alias("_hash"), body.alias("_text")
-    )
+    return df.select(F.col(f"`{doc_id}`").alias("_id"), _digest(body).alias("_hash"), body.alias("_text"))
+
+
+def _digest(body: Column) -> Column:
+    return F.unhex(F.md5(body))
 
 
 def _same(left: str, right: str) -> Column:
@@ -390,10 +422,10 @@ def _fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 VERDICT = "anchor long, digest long, first int, last int"
 
 
-def _verdict(anchor, digest, found) -> pa.RecordBatch | None:
+def _verdict(t: pd.DataFrame, found: list[np.ndarray]) -> pa.RecordBatch | None:
     rows = [
-        (a, d, s, e)
-        for a, d, mask in zip(anchor.tolist(), digest.tolist(), found)
+        (a, d, s + first, e + first)
+        for a, d, first, mask in zip(t["anchor"].tolist(), t["digest"].tolist(), t["first"].tolist(), found)
         if mask.any()
         for s, e in _spans(mask)
     ]
@@ -404,15 +436,19 @@ def _verdict(anchor, digest, found) -> pa.RecordBatch | None:
     return pa.RecordBatch.from_arrays(cols, ["anchor", "digest", "first", "last"])
 
 
-def _sorted_verdicts(spans: DataFrame) -> DataFrame:
-    """Repeated windows of runs whose anchors have a bounded number of kinds."""
+# Runs or parts of them in the bucket where they are sorted; `first` is a part's first window.
+PARTS = ("bucket", "anchor", "digest", "first", "offset", "count", "copies", "span")
+
+
+def _sorted_verdicts(parts: DataFrame) -> DataFrame:
+    """Repeated windows of buckets with a bounded number of parts."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def judged(t: pd.DataFrame):
             found = repeated_windows(
                 t["span"].tolist(), t["offset"].to_numpy(), t["count"].to_numpy(), t["copies"].to_numpy()
             )
-            return _verdict(t["anchor"], t["digest"], found)
+            return _verdict(t, found)
 
         held, size = [], 0
         for b in batches:
@@ -420,7 +456,7 @@ def _sorted_verdicts(spans: DataFrame) -> DataFrame:
             size += b.nbytes
             if size >= CHUNK:
                 every = pd.concat(held, ignore_index=True)
-                done = every["anchor"] != every["anchor"].iloc[-1]
+                done = every["bucket"] != every["bucket"].iloc[-1]
                 if done.any() and (out := judged(every[done].reset_index(drop=True))) is not None:
                     yield out
                 held = [every[~done]]
@@ -430,32 +466,62 @@ def _sorted_verdicts(spans: DataFrame) -> DataFrame:
             if len(every) and (out := judged(every)) is not None:
                 yield out
 
-    rows = spans.select("anchor", "digest", "offset", "count", "copies", "span").repartition("anchor")
-    return rows.sortWithinPartitions("anchor").mapInArrow(run, VERDICT)
+    rows = parts.select(*PARTS).repartition("bucket")
+    return rows.sortWithinPartitions("bucket").mapInArrow(run, VERDICT)
 
 
-def _counted_verdicts(spans: DataFrame) -> DataFrame:
-    """The same for the other anchors: every window is counted by digest."""
+def _dealt(parts: DataFrame, step: int) -> DataFrame:
+    """Parts of long buckets by the number of bytes before the anchor, `step` numbers together,
+    and by the bytes that all windows with these numbers have; with the size of the new bucket."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [n for n in PARTS if n != "bucket"]
         for b in batches:
+            out = []
             for r in b.to_pylist():
-                every = [
-                    hashlib.blake2b(r["span"][i : i + LENGTH], digest_size=16).digest()
-                    for i in range(r["count"])
-                ]
-                n = len(every)
+                low, offset, span = r["offset"] - r["count"] + 1, r["offset"], r["span"]
+                for k in range(low // step, offset // step + 1):
+                    least, most = max(low, k * step), min(offset, k * step + step - 1)
+                    core = span[offset - k * step : offset - (k * step + step - 1) + LENGTH]
+                    mark = b"%d %d %d " % (r["anchor"], step, k)
+                    new = {
+                        "bucket": hashlib.blake2b(mark + core, digest_size=16).hexdigest(),
+                        "first": r["first"] + offset - most,
+                        "offset": most,
+                        "count": most - least + 1,
+                        "span": span[offset - most : offset - least + LENGTH],
+                    }
+                    out.append({**r, **new})
+            if out:
+                cols = {n: [o[n] for o in out] for n in names}
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[k]] * n, pa.int64()) for k in ("anchor", "digest", "copies")]
-                    + [pa.array(range(n), pa.int32()), pa.array(every, pa.binary())],
-                    ["anchor", "digest", "copies", "at", "window"],
+                    [pa.array([o["bucket"] for o in out])]
+                    + [pa.array(cols[n], pa.binary() if n == "span" else pa.int64()) for n in names],
+                    list(PARTS),
                 )
 
-    rows = spans.select("anchor", "digest", "count", "copies", "span")
-    rows = rows.mapInArrow(run, "anchor long, digest long, copies long, at int, window binary")
-    times = rows.groupBy("window").agg(F.sum("copies").alias("times")).filter("times > 1")
-    hits = rows.join(times, "window", "left_semi")
-    return hits.select("anchor", "digest", F.col("at").alias("first"), F.col("at").alias("last"))
+    schema = ", ".join(f"{n} {'string' if n == 'bucket' else 'binary' if n == 'span' else 'long'}" for n in PARTS)
+    dealt = stored(parts.select(*PARTS).mapInArrow(run, schema), "dealt")
+    sizes = stored(dealt.groupBy("bucket").agg(F.count("*").alias("kinds")), "sizes")
+    return dealt.join(sizes, "bucket")
+
+
+def _bucket_verdicts(spans: DataFrame) -> list[DataFrame]:
+    """Verdicts of all fetched runs, sorted in buckets of `MANY` parts at most."""
+    first = F.lit(0).cast("long").alias("first")
+    rows = spans.select(F.col("anchor").cast("string").alias("bucket"), first, *[c for c in PARTS if c not in ("bucket", "first")], "kinds")
+    out = []
+    for step in (STEP, 1):
+        out.append(_sorted_verdicts(rows.filter(F.col("kinds") <= MANY)))
+        long = rows.filter(F.col("kinds") > MANY)
+        if not long.limit(1).count():
+            return out
+        rows = _dealt(long, step)
+    # Single windows: those of a bucket are equal.
+    window = F.col("first").cast("int")
+    again = rows.filter("kinds > 1 OR copies > 1")
+    out.append(again.select("anchor", "digest", window.alias("first"), window.alias("last")))
+    return out
 
 
 def _members(docs: DataFrame) -> DataFrame:
@@ -474,18 +540,16 @@ def _verdicts(docs: DataFrame, members: DataFrame) -> DataFrame:
         F.min(F.struct("_id", "_hash", "start")).alias("one"),
     )
     kinds = stored(kinds, "kinds")
+    # Written, so that it does not share the shuffle of the join, whose hot anchors can be split.
     several = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1")
+    several = stored(several, "several")
     both = stored(kinds.join(several, "anchor", "left"), "anchored")
     whole = both.filter(F.col("kinds").isNull()).select(
         "anchor", "digest", F.lit(0).alias("first"), (F.col("count") - 1).cast("int").alias("last")
     )
     wanted = both.filter(F.col("kinds").isNotNull()).select("*", "one.*")
     spans = stored(_fetched(docs, wanted), "spans")
-    out = whole.unionByName(_sorted_verdicts(spans.filter(F.col("kinds") <= MANY)))
-    many = spans.filter(F.col("kinds") > MANY)
-    if many.limit(1).count():
-        out = out.unionByName(_counted_verdicts(many))
-    return stored(out, "verdicts")
+    return stored(reduce(DataFrame.unionByName, _bucket_verdicts(spans), whole), "verdicts")
 
 
 def _removals(docs: DataFrame) -> DataFrame:
@@ -551,7 +615,7 @@ def without_repeats(df: DataFrame) -> DataFrame:
         F.struct(*[F.col(f"row.`{c}`") for c in rest]).alias("rest"),
         F.col("row.text").isNull().alias("_null"),
         F.col("row.doc_id").alias("_id"),
-        F.hash(body).alias("_hash"),
+        _digest(body).alias("_hash"),
         body.alias("_text"),
     )
     both = _packed(rows).alias("d").join(gone.alias("g"), _same("d", "g"), "left")
