@@ -8,7 +8,8 @@ compared, word by word. The windows that agree cover the hit words.
 
 Defined cases: null or wordless texts have no words and no hits; wordless items have no
 windows; an item or a document that repeats gives the same result each time (an item counts
-once by id); an empty table on either side gives no hits; other columns are not touched.
+once by id); the windows of items without an id hit words like others, and these items count as
+one, which the digest of ids leaves out; an empty table on either side gives no hits; other columns are not touched.
 """
 
 from __future__ import annotations
@@ -114,14 +115,20 @@ def _shared(docs: DataFrame, windows: DataFrame, marks: DataFrame, length: int)
     near = stored(near.groupBy("_id", "_hash").agg(F.collect_set("mark").alias("marks")), "near")
 
     some = docs.alias("d").join(near.alias("n"), _same("d", "n"))
-    some = some.select("d._id", "d._hash", "n.marks", _words(F.col("d._text")).alias("words"))
-    some = some.select("*", _sliding_min(window_hashes(F.col("words"), gram), width).alias("_m"))
-    places = F.filter(
-        F.transform("_m", lambda m, i: F.when(F.array_contains("marks", m), i)), F.isnotnull
-    )
-    starts = _exploded(some, places, "start", "_id", "_hash", "words")
-    window = F.array_join(F.slice("words", F.col("start") + 1, length), " ")
-    starts = starts.select("_id", "_hash", "start", window.alias("window"))
+    some = some.select("d._id", "d._hash", _words(F.col("d._text")).alias("words"))
+    some = stored(some, "near_words")
+    # Places meet the marks in a join, so a long text costs its length; only numbers are moved.
+    places = F.transform(_sliding_min(window_hashes(F.col("words"), gram), width), lambda m, i: F.struct(m.alias("mark"), i.alias("start")))
+    places = _exploded(some, places, "place", "_id", "_hash").select("_id", "_hash", "place.*")
+    starts = places.join(marks, "mark").groupBy("_id", "_hash").agg(F.collect_set("start").alias("starts"))
+    starts = some.alias("d").join(stored(starts, "starts").alias("n"), _same("d", "n"))
+
+    def window(start: Column) -> Column:
+        words = F.array_join(F.slice("words", start + 1, length), " ")
+        return F.struct(start.alias("start"), words.alias("window"))
+
+    starts = _exploded(starts, F.transform("n.starts", window), "w", "d._id", "d._hash")
+    starts = starts.select("_id", "_hash", "w.*")
     return starts.join(windows, "window").select(
         "_id", "_hash", "start", (F.col("start") + length).alias("end"), "ids"
     )
@@ -142,7 +149,7 @@ def _hits(docs: DataFrame, items: DataFrame) -> DataFrame | None:
         own = items.filter(size == length)
         marks = stored(_fingerprints(own, "words", length).distinct(), "marks")
         windows = _windows(own, "words", length, "item_id").groupBy("window")
-        windows = stored(windows.agg(F.collect_set("item_id").alias("ids")), "windows")
+        windows = stored(windows.agg(F.collect_set(F.struct("item_id")).alias("ids")), "windows")
         hit = _shared(docs, windows, marks, length)
         found = hit if found is None else found.unionByName(hit)
     if found is None:
@@ -150,12 +157,13 @@ def _hits(docs: DataFrame, items: DataFrame) -> DataFrame | None:
     spans = F.sort_array(F.collect_set(F.struct("start", "end")))
     ids = F.array_distinct(F.flatten(F.collect_set("ids")))
     found = found.groupBy("_id", "_hash").agg(spans.alias("spans"), ids.alias("ids"))
-    names = F.array_sort(F.transform("ids", lambda x: x.cast("string")))
-    return found.select("_id", "_hash", _covered(F.col("spans")).alias("n_hit"), names.alias("items"))
+    names = F.filter(F.transform("ids", lambda x: x["item_id"].cast("string")), F.isnotnull)
+    n_hit = _covered(F.col("spans")).alias("n_hit")
+    return found.select("_id", "_hash", n_hit, F.size("ids").alias("n_items"), F.array_sort(names).alias("items"))
 
 
 def _items(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("item_id").isNotNull()).select("item_id", _words(F.col("text")).alias("words"))
+    return df.select("item_id", _words(F.col("text")).alias("words"))
 
 
 def contamination(df: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -166,18 +174,19 @@ def contamination(df: DataFrame, benchmark: DataFrame) -> DataFrame:
     out = docs.select("_id", "_hash", n_words.alias("n_words"))
     hits = _hits(docs, _items(benchmark))
     if hits is None:
-        out = out.withColumns({"n_hit": F.lit(0), "items": F.array().cast("array<string>")})
+        none = F.array().cast("array<string>")
+        out = out.withColumns({"n_hit": F.lit(0), "n_items": F.lit(0), "items": none})
     else:
         hits = stored(hits, "hits")
         out = out.alias("d").join(hits.alias("h"), _same("d", "h"), "left")
-        out = out.select("d.*", "h.n_hit", "h.items")
+        out = out.select("d.*", "h.n_hit", "h.n_items", "h.items")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     items = F.coalesce("items", F.array().cast("array<string>"))
     return out.select(
         F.col("_id").alias("doc_id"),
         "n_words",
         n_hit.alias("n_hit"),
-        F.size(items).cast("long").alias("n_items"),
+        F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
         F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
     )

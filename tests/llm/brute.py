@@ -46,7 +46,7 @@ def contamination(docs, items):
     for item, text in items:
         words = WORD.findall(lower(text))
         size = min(10, len(words))
-        for s in range(len(words) - size + 1) if size and item is not None else ():
+        for s in range(len(words) - size + 1) if size else ():
             windows.setdefault(tuple(words[s : s + size]), set()).add(item)
     out = []
     for doc, text in docs:
@@ -56,8 +56,9 @@ def contamination(docs, items):
                 if (w := tuple(words[s : s + size])) in windows:
                     hit |= set(range(s, s + size))
                     found |= windows[w]
-        ids = sorted(map(str, found))
-        out.append((doc, len(words), len(hit), len(ids), sha(",".join(ids)), bool(hit)))
+        # Items without an id count as one, which the digest leaves out.
+        ids = sorted(str(x) for x in found if x is not None)
+        out.append((doc, len(words), len(hit), len(found), sha(",".join(ids)), bool(hit)))
     return ordered(out)
 
 

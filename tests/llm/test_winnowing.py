@@ -42,3 +42,24 @@ def test_empty_sides(documents, no_documents, benchmark_items):
     assert winnowing.drop_contaminated(documents, none).count() == documents.count()
     assert winnowing.contamination(no_documents, benchmark_items).count() == 0
     assert winnowing.drop_contaminated(no_documents, benchmark_items).count() == 0
+
+
+def test_items_without_an_id_hit_words(spark):
+    df = spark.createDataFrame([(1, "a b c"), (2, "x b"), (3, None), (None, "c")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "b"), (None, "c"), (7, "a"), (7, "c")], ITEMS)
+    pairs = [(r[0], r[1]) for r in items.collect()]
+    found = bag(winnowing.contamination(df, items))
+    assert found == brute.contamination(texts_of(df), pairs)
+    assert [r[:4] for r in found] == [(None, 1, 1, 2), (1, 3, 3, 2), (2, 2, 1, 1), (3, 0, 0, 0)]
+    assert [r["doc_id"] for r in winnowing.drop_contaminated(df, items).collect()] == [3]
+
+
+def test_a_very_long_hit_text(spark):
+    """Half a million places, most of them with a mark; its cost is its length."""
+    words = [f"w{i % 97}" for i in range(300_000)]
+    df = spark.createDataFrame([(1, " ".join(words))], "doc_id long, text string")
+    items = spark.createDataFrame([(5, " ".join(words[:60]))], ITEMS)
+    row = winnowing.contamination(df, items).first()
+    assert row["n_words"] == 300_000 and row["n_items"] == 1
+    # Of each round of 97 words 60 are the item's.
+    assert row["n_hit"] == 300_000 // 97 * 60 + min(300_000 % 97, 60)
