@@ -4,7 +4,12 @@ The 64 bits are cut into segments. If two fingerprints differ in at most `d` bit
 segment i has a radius r_i with sum(r_i) = d - segments + 1, then in some segment they differ
 in r_i bits at most. So every fingerprint is filed under each of its segments, looks into the
 table entries of the small Hamming ball around each, and complete distances decide. With three
-segments that is 45 rows for a fingerprint, and two million entries for a segment.
+segments that is 45 rows for a fingerprint, and two million entries for a segment; beyond
+`MANY_PRINTS` fingerprints there are two segments, with 562 rows and four billion entries.
+
+An entry with over `SPLIT` rows is a table of its own: its fingerprints agree in that segment but
+for the flipped bits, so the same is done with their other bits, and again with what is left
+then. So however many fingerprints share a segment, a task holds few of them at a time.
 
 Texts with equal fingerprints are one class from the start. In a long table entry links are
 followed from one fingerprint to the next over those not yet reached, so a dense entry costs
@@ -20,6 +25,7 @@ share a component; an empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 from itertools import accumulate, combinations
 
 import numpy as np
@@ -32,8 +38,12 @@ from lakeops.llm.common import packed, stored
 
 SEED = 42
 SEGMENTS = 3
+# Fingerprints beyond which the segments are wider.
+MANY_PRINTS = 1 << 24
 # Table entries longer than this are linked by following links.
 LONG_ENTRY = 64
+# Rows of an entry beyond which it is split by its other bits.
+SPLIT = 20_000
 # Shingles whose bits are counted at once.
 BLOCK = 1 << 16
 
@@ -88,31 +98,66 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def balls(distance: int, segments: int) -> list[tuple[int, list[int]]]:
-    """For every segment its mask and the bit patterns of its ball; the first has the centre."""
+def balls(
+    distance: int, segments: int, mask: int = (1 << 64) - 1
+) -> list[tuple[int, list[int]]]:
+    """For every segment of the bits of `mask` its own mask and the bit patterns of its ball; the
+    first has the centre."""
     spare = max(0, distance - segments + 1)
+    places = [b for b in range(64) if mask >> b & 1]
     out, low = [], 0
     for s in range(segments):
-        width = 64 // segments + (s >= segments - 64 % segments)
+        width = len(places) // segments + (s >= segments - len(places) % segments)
         radius = spare // segments + (s < spare % segments)
-        bits = [1 << (low + b) for b in range(width)]
+        bits = [1 << b for b in places[low : low + width]]
         flips = [sum(c) for r in range(radius + 1) for c in combinations(bits, r)]
         out.append((_signed(sum(bits)), [_signed(x) for x in flips]))
         low += width
     return out
 
 
-def _entries(prints: DataFrame, distance: int, segments: int) -> DataFrame:
-    """`entry`, `fp`, and `home`: whether the fingerprint is filed there or only looks there."""
+def _filed(rows: DataFrame, distance: int, segments: int, rest: int) -> DataFrame:
+    """Rows (`entry`, `fp`, `home`) filed under the segments of the bits `rest`, within their entry.
+
+    `home` tells whether the fingerprint is filed there or only looks there, and `rest` becomes
+    the bits that no entry it is in has looked at.
+    """
     out = None
-    for s, (mask, flips) in enumerate(balls(distance, segments)):
-        looks = prints.select("fp", F.explode(F.array(*map(F.lit, flips))).alias("flip"))
-        entry = F.xxhash64(F.lit(s), F.col("fp").bitwiseXOR(F.col("flip")).bitwiseAND(F.lit(mask)))
-        part = looks.select(entry.alias("entry"), "fp", (F.col("flip") == 0).alias("home"))
+    for s, (mask, flips) in enumerate(balls(distance, segments, rest)):
+        looks = rows.select("entry", "fp", "home", F.explode(F.array(*map(F.lit, flips))).alias("flip"))
+        key = F.col("fp").bitwiseXOR(F.col("flip")).bitwiseAND(F.lit(mask))
+        part = looks.select(
+            F.xxhash64("entry", F.lit(s), key).alias("entry"),
+            "fp",
+            (F.col("home") & (F.col("flip") == 0)).alias("home"),
+            F.lit(_signed(rest & ~mask)).alias("rest"),
+        )
         out = part if out is None else out.unionAll(part)
     return out
 
 
+def _entries(prints: DataFrame, distance: int, segments: int) -> DataFrame:
+    """`entry`, `fp` and `home`, in entries of `SPLIT` rows at most while bits are left."""
+    start = prints.select(F.lit(0).cast("long").alias("entry"), "fp", F.lit(True).alias("home"))
+    rows, done = _filed(start, distance, segments, (1 << 64) - 1), None
+    while True:
+        sizes = rows.groupBy("entry", "rest").agg(F.count("*").alias("n"), F.max("home").alias("any"))
+        long = stored(sizes.filter((F.col("n") > SPLIT) & F.col("any")).select("entry", "rest"), "long")
+        # One number for each set of bits that is left, of which there are few.
+        masks = [r[0] for r in long.select("rest").distinct().collect()]
+        masks = [m for m in masks if (m % (1 << 64)).bit_count() > distance]
+        if not masks:
+            return rows if done is None else done.unionAll(rows)
+        split = long.filter(F.col("rest").isin(masks))
+        kept = rows.join(split.select("entry"), "entry", "left_anti")
+        done = kept if done is None else done.unionAll(kept)
+        inside = stored(rows.join(split.select("entry"), "entry", "left_semi"), "inside")
+        parts = [
+            _filed(inside.filter(F.col("rest") == m), distance, segments, m % (1 << 64)) for m in masks
+        ]
+        rows = reduce(DataFrame.unionAll, parts)
+
+
 def _tree(values: np.ndarray, home: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect what links of short distance, with one end at home, connect.
 
@@ -186,7 +231,7 @@ def links(prints: DataFrame, distance: int, segments: int) -> DataFrame:
         if held is not None and len(held[0]):
             yield from made(held, last=True)
 
-    rows = _entries(prints, distance, segments).repartition("entry")
+    rows = _entries(prints, distance, segments).select("entry", "fp", "home").repartition("entry")
     rows = rows.sortWithinPartitions("entry", F.desc("home"))
     return rows.mapInArrow(run, "a long, b long").filter("a <> b").distinct()
 
@@ -229,10 +274,12 @@ def classes(df: DataFrame, shingle: int, distance: int) -> DataFrame:
     """`_id`, `_hash`, `fp`, `root` (a component's fingerprint) and `component_id` per row."""
     rows = stored(fingerprints(df, shingle), "prints")
     prints = stored(rows.groupBy("fp").agg(F.min("_id").alias("least")), "classes")
-    found = components(links(prints, distance, min(SEGMENTS, distance + 1)))
+    segments = SEGMENTS if prints.count() <= MANY_PRINTS else SEGMENTS - 1
+    found = components(links(prints, distance, min(segments, distance + 1)))
     joined = prints.join(found, prints["fp"] == found["node"], "left")
-    roots = joined.select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = roots.groupBy("root").agg(F.min("least").alias("component_id"))
+    roots = stored(joined.select("fp", "least", F.coalesce("root", "fp").alias("root")), "roots")
+    # Written, so that it does not share the shuffle of the join, whose hot roots can be split.
+    least = stored(roots.groupBy("root").agg(F.min("least").alias("component_id")), "least")
     named = stored(roots.select("fp", "root").join(least, "root"), "components")
     return rows.join(named, "fp").select("_id", "_hash", "fp", "root", "component_id")
 
@@ -252,6 +299,7 @@ def keep_one(df: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
     first = F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_hash"))
     best = found.groupBy("root").agg(F.min(first).alias("best"))
     best = best.select("root", F.col("best._id").alias("_k"), F.col("best._hash").alias("_h"))
+    best = stored(best, "best")
     gone = found.alias("m").join(
         best.alias("b"),
         (F.col("m.root") == F.col("b.root"))

@@ -86,3 +86,25 @@ def test_one_of_each_group_stays(awkward, documents, no_documents):
         assert len(ids) == len(set(brute.classes(prints)))
         assert set(ids) == set(brute.components(prints))
     assert simhash.keep_one(no_documents).count() == simhash.near_duplicates(no_documents).count() == 0
+
+
+def test_entries_are_split_while_they_are_long(spark, monkeypatch):
+    """A third of all fingerprints share a segment, far apart or near; no link is lost."""
+    draw, prints = random.Random(9), set()
+    for _ in range(60):
+        prints.add(draw.getrandbits(64))
+        crowded = draw.getrandbits(43) << 21 | 0x12345
+        prints.add(crowded)
+        for _ in range(draw.randint(0, 3)):
+            prints.add(crowded ^ sum(1 << b for b in draw.sample(range(64), draw.randint(1, 4))))
+    prints = sorted(prints)
+    df = spark.createDataFrame([(simhash._signed(p),) for p in prints], "fp long")
+    whole = simhash._entries(df, 4, 3).groupBy("entry").count().agg(F.max("count")).first()[0]
+    monkeypatch.setattr(simhash, "SPLIT", 12)
+    entries = simhash._entries(df, 4, 3)
+    longest = entries.groupBy("entry").agg(F.count("*").alias("n"), F.max("home").alias("any"))
+    assert longest.filter("any").agg(F.max("n")).first()[0] <= 12 < 50 < whole
+    roots = {r["node"]: r["root"] for r in simhash.components(simhash.links(df, 4, 3)).collect()}
+    classes = [roots.get(simhash._signed(p), simhash._signed(p)) for p in prints]
+    plain = brute.components(list(enumerate(prints)))
+    assert len(set(zip(classes, plain))) == len(set(classes)) == len(set(plain))
