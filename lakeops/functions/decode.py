@@ -1,5 +1,7 @@
 """From raw Kafka records to columns."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,14 +36,18 @@ def split_by_schema(df: DataFrame, known: int, value: str = "value") -> tuple[Da
     return df.filter(same), df.filter(~same)
 
 
-def _flatten(df: DataFrame, payload: Column) -> DataFrame:
+def decode_with(df: DataFrame, payload: Callable[[Column], Column], ingested: Column | None = None):
+    """Kafka records with the fields of what `payload` makes of their value.
+
+    `ingested` is the time of ingestion, that of the query unless given.
+    """
     envelope = prefix_envelope(df)
     return (
         envelope.withColumns(
             {
                 "key": F.col("_key").cast("string"),
-                _PAYLOAD: payload,
-                "_ingestion_time": F.current_timestamp(),
+                _PAYLOAD: payload(F.col("_value")),
+                "_ingestion_time": F.current_timestamp() if ingested is None else ingested,
             }
         )
         .select("*", f"{_PAYLOAD}.*")
@@ -49,19 +55,38 @@ def _flatten(df: DataFrame, payload: Column) -> DataFrame:
     )
 
 
+def json_payload(ddl: str) -> Callable[[Column], Column]:
+    return lambda value: F.from_json(value.cast("string"), ddl)
+
+
+def framed_json_payload(ddl: str) -> Callable[[Column], Column]:
+    return lambda value: F.from_json(strip_frame(value).cast("string"), ddl)
+
+
+def avro_payload(schema_json: str) -> Callable[[Column], Column]:
+    """Framed Avro of one writer schema. Needs the external `spark-avro` module on the class path."""
+    from pyspark.sql.avro.functions import from_avro
+
+    return lambda value: from_avro(strip_frame(value), schema_json)
+
+
 def decode_json(df: DataFrame, ddl: str) -> DataFrame:
     """Kafka records with JSON values; a malformed value or field gives nulls."""
-    return _flatten(df, F.from_json(F.col("_value").cast("string"), ddl))
+    return decode_with(df, json_payload(ddl))
 
 
 def decode_avro(df: DataFrame, schema_json: str) -> DataFrame:
-    """Kafka records with framed Avro values, decoded by one writer schema.
+    """Kafka records with framed Avro values, decoded by one writer schema."""
+    return decode_with(df, avro_payload(schema_json))
 
-    Needs the external `spark-avro` module on the class path.
-    """
-    from pyspark.sql.avro.functions import from_avro
 
-    return _flatten(df, from_avro(strip_frame(F.col("_value")), schema_json))
+def payload_of(value_format: str, ddl: str | None = None, avro_schema: str | None = None):
+    """What makes the fields of a value of a format."""
+    if value_format == "json":
+        return json_payload(ddl)
+    if value_format == "avro":
+        return avro_payload(avro_schema)
+    raise ValueError(f"unknown value format: {value_format!r}")
 
 
 def decode_value(

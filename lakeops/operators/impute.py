@@ -13,6 +13,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeops.functions.time import epoch_seconds
 from lakeops.operators.moving import join_means, trailing_means
 
 
@@ -83,6 +84,25 @@ def _fill_gaps(
     return others.unionByName(filled)
 
 
+# Rows of other runs with event times between two, as seconds since 1970; None if there are none.
+Earlier = Callable[[int, int], DataFrame | None]
+
+
+def _in_frames(
+    earlier: Earlier, gaps: DataFrame, hours: int, key: str, timestamp: str
+) -> DataFrame | None:
+    """Rows of other runs that the frames of the gaps can hold, by the time bounds of all gaps
+    and then those of each key. Null times are peers of each other alone, as in a run."""
+    width, sec = hours * 3600, epoch_seconds(timestamp)
+    bounds = gaps.agg(F.min(sec).alias("low"), F.max(sec).alias("high")).first()
+    rows = None if bounds.low is None else earlier(bounds.low - width, bounds.high)
+    if rows is None:
+        return None
+    known = gaps.groupBy(F.col(key).alias("__key")).agg(F.min(sec).alias("__low"), F.max(sec).alias("__high"))
+    inside = F.col(key).eqNullSafe(F.col("__key")) & sec.between(F.col("__low") - width, F.col("__high"))
+    return rows.join(known, inside, "left_semi")
+
+
 def impute_window(
     df: DataFrame,
     fields: Sequence[str],
@@ -92,16 +112,26 @@ def impute_window(
     nan: bool = False,
     digits: int = 3,
     sum_type: str | None = None,
+    earlier: Earlier | None = None,
 ) -> DataFrame:
     """Fill the gaps of all `fields` that share a frame in one pass.
 
     A field stays null where its frame holds no value. With `sum_type`, a mean that ends
-    in a five is rounded as the decimal it is, not as the double next to it.
+    in a five is rounded as the decimal it is, not as the double next to it. `earlier` gives
+    rows of other runs: they count in the means and are not in the result.
     """
     if nan:
         df = nan_to_null(df, fields)
     gap = _with_gap(fields)
-    means = trailing_means(df, fields, hours, key, timestamp, sum_type, only_where=gap)
+    rows, wanted = df, gap
+    if earlier is not None:
+        columns = [key, timestamp, *fields]
+        rows, wanted = df.select(*columns, gap.alias("__gap")), F.col("__gap")
+        before = _in_frames(earlier, df.filter(gap), hours, key, timestamp)
+        if before is not None:
+            before = nan_to_null(before, fields) if nan else before
+            rows = rows.unionByName(before.select(*columns, F.lit(False).alias("__gap")))
+    means = trailing_means(rows, fields, hours, key, timestamp, sum_type, only_where=wanted)
 
     def rounded(mean: str) -> Column:
         if sum_type is None:
@@ -116,22 +146,53 @@ def impute_window(
     return _fill_gaps(df, gap, fill, fields)
 
 
+def key_totals(
+    df: DataFrame, fields: Sequence[str], key: str, sum_type: str | None = None
+) -> DataFrame:
+    """One row per key with the sum and the number of the values of the fields, `__s<i>` and
+    `__n<i>`: what can be added up over runs."""
+    parts = []
+    for i, f in enumerate(fields):
+        parts.append(F.sum(F.col(f).cast(sum_type) if sum_type else F.col(f)).alias(f"__s{i}"))
+        parts.append(F.count(f).alias(f"__n{i}"))
+    return df.groupBy(F.col(key).alias("__key")).agg(*parts)
+
+
+def means_of(totals: DataFrame, n: int) -> DataFrame:
+    """The means of totals, as `__mean_<i>`; totals of several runs are added up."""
+    added = totals.groupBy("__key").agg(*[F.sum(f"__{c}{i}").alias(f"__{c}{i}") for i in range(n) for c in "sn"])
+    return added.select("__key", *[_mean(i) for i in range(n)])
+
+
+def _mean(i: int) -> Column:
+    count = F.col(f"__n{i}")
+    return (F.col(f"__s{i}").cast("double") / F.when(count > 0, count)).alias(f"__mean_{i}")
+
+
 def key_means(
     df: DataFrame, fields: Sequence[str], key: str, sum_type: str | None = None
 ) -> DataFrame:
     """One row per key with the means of the fields as `__mean_<i>`."""
-    means = []
-    for i, f in enumerate(fields):
-        value = F.col(f).cast(sum_type) if sum_type else F.col(f)
-        total, n = F.sum(value).cast("double"), F.count(f)
-        means.append((total / F.when(n > 0, n)).alias(f"__mean_{i}"))
-    return df.groupBy(F.col(key).alias("__key")).agg(*means)
+    totals = key_totals(df, fields, key, sum_type)
+    return totals.select("__key", *[_mean(i) for i in range(len(fields))])
+
+
+# Given the totals of a run, its key and fields, those of all runs up to it.
+Totals = Callable[[DataFrame, str, Sequence[str]], DataFrame]
 
 
 def impute_key_mean(
-    df: DataFrame, fields: Sequence[str], key: str, sum_type: str | None = None
+    df: DataFrame,
+    fields: Sequence[str],
+    key: str,
+    sum_type: str | None = None,
+    totals: Totals | None = None,
 ) -> DataFrame:
+    """Fill gaps with the mean of the rows with the same key: those of `df`, or with `totals`
+    those of all runs that it adds up."""
     means = key_means(df, fields, key, sum_type)
+    if totals is not None:
+        means = means_of(totals(key_totals(df, fields, key, sum_type), key, fields), len(fields))
     gap = _with_gap(fields) & F.col(key).isNotNull()
 
     def fill(rows: DataFrame) -> DataFrame:
@@ -204,17 +265,22 @@ def impute(
     rules: Sequence[Rule],
     timestamp: str = "timestamp",
     sum_type: str | None = None,
+    earlier: Earlier | None = None,
+    totals: Totals | None = None,
 ) -> DataFrame:
-    """Apply the rules in their order; an unknown rule raises while the plan is built."""
+    """Apply the rules in their order; an unknown rule raises while the plan is built.
+
+    `earlier` and `totals` bring in what other runs know, for the window and the key means.
+    """
     for batch in _batches(rules, timestamp):
         r, fields = batch[0], [b.field for b in batch]
         match r:
             case WindowMean():
                 df = impute_window(
-                    df, fields, r.hours, r.key, timestamp, r.nan, r.digits, sum_type
+                    df, fields, r.hours, r.key, timestamp, r.nan, r.digits, sum_type, earlier
                 )
             case KeyMean():
-                df = impute_key_mean(df, fields, r.key, sum_type)
+                df = impute_key_mean(df, fields, r.key, sum_type, totals)
             case Literal():
                 df = impute_literal(df, r.field, r.value)
             case DateOffset():

@@ -33,6 +33,25 @@ def sales_volume(sales: DataFrame, sum_type: str | None = None) -> DataFrame:
     )
 
 
+def sales_parts(sales: DataFrame, sum_type: str | None = None) -> DataFrame:
+    """What `sales_volume` adds up, per category and day; parts of several runs can be merged."""
+    return sales.groupBy("category", F.to_date("timestamp").alias("order_date")).agg(
+        F.count("*").alias("orders"),
+        _sum("sales_price", sum_type).alias("total"),
+        F.count("sales_price").alias("priced"),
+    )
+
+
+def sales_volume_of(parts: DataFrame) -> DataFrame:
+    """`sales_volume` from the parts of all runs."""
+    n, total = F.sum("priced"), F.sum("total").cast("double")
+    return parts.groupBy("category", "order_date").agg(
+        F.sum("orders").alias("orders_count"),
+        total.alias("total_sales"),
+        (total / F.when(n > 0, n)).alias("avg_order_value"),
+    )
+
+
 def with_delivery_delay(df: DataFrame) -> DataFrame:
     """Days between scheduled and actual delivery, and whether it was on time.
 
@@ -102,3 +121,33 @@ def climate_impact(
     return sold.join(weather, "date").select(
         "date", total.cast("double").alias("total_sales"), "avg_temp_C", "avg_humidity"
     )
+
+
+def daily_sales_parts(sales: DataFrame, sum_type: str | None = None) -> DataFrame:
+    day = F.to_date("timestamp").alias("date")
+    return sales.groupBy(day).agg(_sum("sales_price", sum_type).alias("total"))
+
+
+def weather_parts(climate: DataFrame, sum_type: str | None = None) -> DataFrame:
+    """Sums and numbers of the readings of each day."""
+    parts = [(f"{n}_{c}", f(c, sum_type)) for c in WEATHER for n, f in (("sum", _sum), ("n", _count))]
+    return climate.groupBy(F.to_date("timestamp").alias("date")).agg(*[v.alias(n) for n, v in parts])
+
+
+WEATHER = {"temperature_C": "avg_temp_C", "humidity_percent": "avg_humidity"}
+
+
+def _count(column: str, _: str | None) -> Column:
+    return F.count(column)
+
+
+def climate_impact_of(sales: DataFrame, weather: DataFrame) -> DataFrame:
+    """`climate_impact` from the parts of all runs, each side merged before they meet."""
+    sold = sales.groupBy("date").agg(F.sum("total").cast("double").alias("total_sales"))
+    means = []
+    for c, name in WEATHER.items():
+        n = F.sum(f"n_{c}")
+        means.append((F.sum(f"sum_{c}").cast("double") / F.when(n > 0, n)).alias(name))
+    return sold.join(weather.groupBy("date").agg(*means), "date").select(
+        "date", "total_sales", *WEATHER.values()
+    )

@@ -45,9 +45,13 @@ class Silver:
 
 @dataclass(frozen=True)
 class Gold:
+    """`parts` of each input, if there are any, are what runs add to the whole that `merge` makes."""
+
     inputs: Sequence[str]
     aggregate: Callable[..., DataFrame]
     sums: bool = True
+    parts: Sequence[Callable[..., DataFrame]] = ()
+    merge: Callable[..., DataFrame] | None = None
 
 
 CSV = {"header": "true", "sep": ","}
@@ -171,9 +175,19 @@ SILVER: dict[str, Silver] = {
 }
 
 GOLD: dict[str, Gold] = {
-    "climate_impact": Gold(("online_sales", "climate"), metrics.climate_impact),
+    "climate_impact": Gold(
+        ("online_sales", "climate"),
+        metrics.climate_impact,
+        parts=(metrics.daily_sales_parts, metrics.weather_parts),
+        merge=metrics.climate_impact_of,
+    ),
     "order_fulfillment_performance": Gold(
         ("online_sales", "logistics"), metrics.order_fulfillment_performance, sums=False
     ),
-    "sales_volume": Gold(("online_sales",), metrics.sales_volume),
+    "sales_volume": Gold(
+        ("online_sales",),
+        metrics.sales_volume,
+        parts=(metrics.sales_parts,),
+        merge=metrics.sales_volume_of,
+    ),
 }

@@ -416,6 +416,27 @@ ORACLE |= {
     "lakehouse_climate": ORACLE["silver_climate"],
     "lakehouse_logistics": ORACLE["silver_logistics"],
     "lakehouse_inventory": ORACLE["silver_inventory"],
+    "lakehouse_iot_sensors": ORACLE["silver_iot_sensors"],
+    "lakehouse_packed_runs": ORACLE["lakehouse_sales_volume"],
+    "lakehouse_images": ORACLE["ingest_binary_files"],
+    "lakehouse_climate_impact": f"""
+        WITH weather AS (
+          SELECT CAST("timestamp" AS DATE) AS date,
+                 CAST(sum(CAST(temperature_C AS DECIMAL(18,2))) AS DOUBLE) / nullif(count(temperature_C), 0)
+                   AS avg_temp_C,
+                 CAST(sum(CAST(humidity_percent AS DECIMAL(18,2))) AS DOUBLE)
+                   / nullif(count(humidity_percent), 0) AS avg_humidity
+          FROM ({ORACLE["silver_climate"]}) GROUP BY ALL
+        )
+        SELECT date, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_sales, avg_temp_C, avg_humidity
+        FROM (SELECT value, CAST(CASE WHEN event_id % 11 <> 0 THEN ts ELSE TIMESTAMP '2030-01-01 00:00:00' END
+                                 AS DATE) AS date FROM events)
+        JOIN weather USING (date) GROUP BY ALL""",
+    "ingest_rejects": """
+        SELECT event_id AS _offset, CASE event_id % 10 WHEN 0 THEN 265::BIGINT END AS _schema_id,
+               concat(CASE event_id % 10 WHEN 0 THEN '0000000109' ELSE '' END,
+                      hex(encode(CAST(user_id AS VARCHAR)))) AS value
+        FROM events WHERE event_id % 10 < 2""",
     "lakehouse_fulfillment": _with(
         "logistics",
         """

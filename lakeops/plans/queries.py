@@ -293,11 +293,14 @@ def _new_lake(spark: SparkSession, name: str) -> Lake:
 
 def _kept(lake: Lake, layer: str, name: str) -> DataFrame:
     """A table's files, without the catalog entries of its lake."""
-    spark = lake.spark
-    table = tables.read_table(spark, lake.table(layer, name))
-    about = spark.sql(f"DESCRIBE TABLE EXTENDED {lake.table(layer, name)}")
+    spark, name = lake.spark, lake.table(layer, name)
+    schema, runs = tables.read_table(spark, name).schema, f"{name}_runs"
+    is_view = spark.catalog.tableExists(runs)
+    about = spark.sql(f"DESCRIBE TABLE EXTENDED {runs if is_view else name}")
     location = about.filter("col_name = 'Location'").first().data_type
-    df = spark.read.schema(table.schema).parquet(location)
+    df = spark.read.schema(schema).parquet(location)
+    if is_view:
+        df = df.filter(sinks.read_layout(spark, name).shown)
     for schema in spark.catalog.listDatabases(f"{lake.prefix}*"):
         # With a schema goes its folder, so it gets an empty one first.
         spark.sql(f"ALTER SCHEMA {schema.name} SET LOCATION '{lake.root}/dropped/{schema.name}'")
@@ -319,12 +322,15 @@ def _ingested(
     rows.write.format(fmt).options(**options).save(landing)
     if others is not None:
         others.write.format(fmt).options(**options).save(f"{landing}/others")
+
+    def write(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{bronze}/batch={batch}")
+
     for _ in range(2):
-        stream = files.read_file_stream(
-            spark, landing, fmt, f"{folder}/schema", options, hints
+        files.drain_files(
+            spark, landing, fmt, f"{folder}/schema", f"{folder}/checkpoint", write, folder, options, hints
         )
-        drain(stream, bronze, f"{folder}/checkpoint", folder)
-    df = spark.read.parquet(bronze)
+    df = spark.read.parquet(bronze).drop("batch")
     return _plain_times(
         df.withColumns(
             {
@@ -512,6 +518,93 @@ def lakehouse_client_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_times(df.select(*columns, items))
 
 
+def _iot_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """Sensor readings as framed records of one schema, with some of another one and without a
+    frame between them, ingested twice."""
+    lake = _new_lake(spark, "sensors")
+    raw = v.raw_iot(spark, sf_dir)
+    fields = [f.name for f in raw.schema if f.name != "key"]
+    values = [F.col(c).cast("string").alias(c) if c == "timestamp" else F.col(c) for c in fields]
+    kind = F.col("event_id") % 10
+    foreign = F.concat(F.unhex(F.lit("0000000109")), F.col("key").cast("binary"))
+    value = (
+        F.when(F.col("copy") == 0, F.concat(F.unhex(F.lit("0000000007")), F.to_json(F.struct(*values)).cast("binary")))
+        .when(kind == 0, foreign)
+        .otherwise(F.col("key").cast("binary"))
+    )
+    copies = F.explode(F.when(kind < 2, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    records = raw.withColumn("copy", copies).select(
+        F.col("key").cast("binary").alias("key"),
+        value.alias("value"),
+        F.lit("topic_iot_sensors").alias("topic"),
+        F.lit(0).alias("partition"),
+        F.col("event_id").alias("offset"),
+        F.lit(RUN_TIME).alias("timestamp"),
+        F.lit(0).alias("timestampType"),
+    )
+    records.write.parquet(f"{lake.landing}/topic")
+    ddl = "event_id bigint, timestamp timestamp, soil_temperature double, soil_humidity double, soil_quality double"
+    for _ in range(2):
+        stream = spark.readStream.schema(records.schema).parquet(f"{lake.landing}/topic")
+        payload = decode.framed_json_payload(ddl)
+        lake.ingest("iot_sensors", schema_id=7, payload=payload, records=stream)
+    return lake
+
+
+def lakehouse_iot_sensors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver table of records of several schemas, of which one is decoded."""
+    lake = _iot_lake(spark, sf_dir)
+    lake.process("iot_sensors", RUN_TIME)
+    plain = silver_iot_sensors(spark, sf_dir).schema
+    return _kept(lake, "silver", "iot_sensors").select(*[F.col(f.name).cast(f.dataType) for f in plain])
+
+
+def ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of the other schemas, as they came."""
+    rejects = _kept(_iot_lake(spark, sf_dir), "bronze", "iot_sensors_rejects")
+    return rejects.select("_offset", "_schema_id", F.hex("_value").alias("value"))
+
+
+def lakehouse_packed_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales in five runs, packed after the third and after the fifth, to gold."""
+    lake = _new_lake(spark, "packed")
+    raw = v.raw_sales_of_events(spark, sf_dir)
+    for run in range(5):
+        part = raw.filter(F.col("order_id").cast("bigint") % 5 == run).write.option("header", True)
+        part.csv(f"{lake.landing}/webpage/online_sales/{run}")
+        lake.ingest("online_sales")
+        lake.process("online_sales", RUN_TIME)
+        if run in (2, 4):
+            lake.compact("online_sales")
+    lake.aggregate("sales_volume")
+    return _kept(lake, "gold", "sales_volume")
+
+
+def lakehouse_climate_impact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales and climate through their silver tables to gold."""
+    lake = _new_lake(spark, "impact")
+    sales = v.raw_sales_of_events(spark, sf_dir)
+    sales.write.option("header", True).csv(f"{lake.landing}/webpage/online_sales")
+    v.raw_climate(spark, sf_dir).write.json(f"{lake.landing}/meteorologic_center/climate")
+    for name in ("online_sales", "climate"):
+        lake.ingest(name)
+        lake.process(name, RUN_TIME)
+    lake.aggregate("climate_impact")
+    return _kept(lake, "gold", "climate_impact")
+
+
+def lakehouse_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as files, as the images arrive, into bronze."""
+    lake = _new_lake(spark, "images")
+    pages = v.read(spark, sf_dir, "pages").select("html")
+    pages.write.option("maxRecordsPerFile", 100).text(f"{lake.landing}/internal_system/products_images")
+    for _ in range(2):
+        lake.ingest("products_images", options={"pathGlobFilter": "*.txt"})
+    return _kept(lake, "bronze", "products_images").agg(
+        F.sum("length").alias("total_bytes"), F.sum(F.length("content")).alias("content_bytes")
+    )
+
+
 def split_by_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Framed events of two schemas and without a frame: those to decode, and the rejects."""
     number = F.col("event_id") % 3
@@ -613,6 +706,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         lakehouse_inventory,
         lakehouse_fulfillment,
         lakehouse_client_data,
+        lakehouse_iot_sensors,
+        lakehouse_packed_runs,
+        lakehouse_climate_impact,
+        lakehouse_images,
+        ingest_rejects,
         split_by_schema,
         ingest_misfits,
         ingest_binary_content,

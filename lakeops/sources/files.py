@@ -7,7 +7,7 @@ reads them records the files seen. Data that does not fit the schema is kept in
 
 import json
 import re
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from functools import reduce
 from itertools import islice
 from operator import add, and_, or_
@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeops.streaming.ingest import drain_batches
+
 RESCUED = "_rescued_data"
 BAD_LINE = "_corrupt_record"
 METADATA = ("_ingested_filename", "_ingestion_time")
@@ -397,28 +399,63 @@ def new_files(
         spark.createDataFrame(some, there.schema).coalesce(1).write.mode("append").parquet(location)
 
 
-def check_headers(
-    spark: SparkSession, path: str, names: list[str], options: Mapping[str, str], location: str
-) -> None:
-    """Stop if a file that came since the last check has its columns in another order.
+def _literal(path: str) -> str:
+    """A path for a reader that takes patterns."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+# Files up to this size are read as a whole for their first line.
+SMALL_FILE = 1 << 20
+# Files of which each has a scan of its own in one job.
+SCANS_AT_ONCE = 100
+
 
-    Of new files the first line is read, by its place in the file, whatever it says.
+def first_lines(spark: SparkSession, paths: list[str]) -> Iterator[DataFrame]:
+    """`file` and its first `line`, whatever it says, some files at a time.
+
+    Small files are read together. Of a larger one a scan with a limit takes one row and stops,
+    so what is read of it is a buffer, however large it is.
     """
+    session = spark.newSession()
+    for key in ("maxPartitionBytes", "openCostInBytes"):
+        session.conf.set(f"spark.sql.files.{key}", str(1 << 60))
+    literal = [_literal(p) for p in paths]
+    sizes = spark.read.format("binaryFile").load(literal).select("path", "length").collect()
+    columns = (F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
+    small = [_literal(r.path) for r in sizes if r.length <= SMALL_FILE]
+    if small:
+        lines = spark.read.text(small).select(*columns, F.col("_metadata.file_block_start").alias("block"))
+        lines = lines.withColumn("place", F.monotonically_increasing_id()).filter("block = 0")
+        yield lines.groupBy("file").agg(F.min_by("line", "place").alias("line"))
+    large = iter(r.path for r in sizes if r.length > SMALL_FILE)
+    while some := list(islice(large, SCANS_AT_ONCE)):
+        yield reduce(
+            DataFrame.unionAll, [session.read.text(_literal(p)).select(*columns).limit(1) for p in some]
+        )
+
+
+def file_in_other_order(
+    spark: SparkSession, paths: list[str], names: list[str], options: Mapping[str, str]
+) -> str | None:
+    """A file, if any, whose header has the columns in another order."""
     csv = {k: v for k, v in options.items() if k.lower() in ("sep", "delimiter", "quote", "escape")}
-    width = ", ".join(f"c{i} string" for i in range(len(names)))
+    fields = F.from_csv("line", ", ".join(f"c{i} string" for i in range(len(names))), csv)
+    header = F.array(*[fields.getField(f"c{i}") for i in range(len(names))])
+    for lines in first_lines(spark, paths):
+        wrong = lines.filter(_other_order(header, names)).select("file").first()
+        if wrong:
+            return wrong.file
+    return None
+
+
+def check_headers(
+    spark: SparkSession, path: str, names: list[str], options: Mapping[str, str], location: str
+) -> None:
+    """Stop if a file that came since the last check has its columns in another order."""
     for some in new_files(spark, path, options, location):
-        lines = spark.read.text(some).select(
-            "value",
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("place"),
-        )
-        first = lines.filter("block = 0").groupBy("file").agg(F.min_by("value", "place").alias("line"))
-        fields = F.from_csv("line", width, csv)
-        header = F.array(*[fields.getField(f"c{i}") for i in range(len(names))])
-        wrong = first.filter(_other_order(header, names)).select("file").first()
+        wrong = file_in_other_order(spark, some, names, options)
         if wrong:
-            raise ValueError(f"columns in another order than the schema: {wrong.file}")
+            raise ValueError(f"columns in another order than the schema: {wrong}")
 
 
 def stored_schema(
@@ -458,17 +495,10 @@ def stored_schema(
     return found, other
 
 
-def stream_csv(
-    spark: SparkSession, path: str, schema: T.StructType, options: Mapping[str, str]
-) -> DataFrame:
-    """CSV lines by the position of their fields, as the header of the inferred schema has them.
-
-    With the option `header`, the first line of every file is dropped by its place, and
-    `check_headers` tells whether it has the columns in the order of the schema.
-    """
+def _csv_rows(reader, path: str | list[str], schema: T.StructType, options: Mapping[str, str]):
     texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
     lines = _with_file(
-        _folder(spark.readStream.format("csv"), options)
+        _folder(reader.format("csv"), options)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", BAD_LINE)
         .schema(texts.add(BAD_LINE, T.StringType()))
@@ -477,6 +507,17 @@ def stream_csv(
     return rescue_texts(lines, schema, BAD_LINE, options)
 
 
+def stream_csv(
+    spark: SparkSession, path: str, schema: T.StructType, options: Mapping[str, str]
+) -> DataFrame:
+    """CSV lines by the position of their fields, as the header of the inferred schema has them.
+
+    With the option `header`, the first line of every file is dropped by its place, and
+    `check_headers` tells whether it has the columns in the order of the schema.
+    """
+    return _csv_rows(spark.readStream, path, schema, options)
+
+
 def stream_json(
     spark: SparkSession, path: str, schema: T.StructType, options: Mapping[str, str]
 ) -> DataFrame:
@@ -518,6 +559,8 @@ def stream_binary(spark: SparkSession, path: str, options: Mapping[str, str]) ->
 
 # Files in a micro-batch unless the options say otherwise.
 FILES_PER_BATCH = "10000"
+# Options that say which files there are, not how they are read.
+LISTING = ("maxfilespertrigger", "maxbytespertrigger", "pathglobfilter", "latestfirst", "maxfileage")
 
 
 def read_file_stream(
@@ -536,9 +579,72 @@ def read_file_stream(
     if fmt not in ("csv", "json", "parquet"):
         raise ValueError(f"unknown file format: {fmt!r}")
     schema = resolve_schema(spark, path, fmt, schema_location, options, hints)
-    if fmt == "csv" and str(options.get("header", "false")).lower() == "true":
+    if fmt == "csv" and _has_header(options):
         names = [f.name for f in schema]
         check_headers(spark, path, names, options, f"{schema_location}_headers")
     if fmt == "parquet":
         return stream_parquet(spark, path, schema, options, f"{schema_location}_stored")
     return {"csv": stream_csv, "json": stream_json}[fmt](spark, path, schema, options)
+
+
+def _has_header(options: Mapping[str, str]) -> bool:
+    return str(options.get("header", "false")).lower() == "true"
+
+
+def _read_files(
+    spark: SparkSession, paths: list[str], fmt: str, schema: T.StructType, options: Mapping[str, str]
+) -> DataFrame:
+    """CSV or Parquet files as one frame, each group of Parquet files by its own types."""
+    if fmt == "csv":
+        names = [f.name for f in schema]
+        wrong = file_in_other_order(spark, paths, names, options) if _has_header(options) else None
+        if wrong:
+            raise ValueError(f"columns in another order than the schema: {wrong}")
+        return _csv_rows(spark.read, [_literal(p) for p in paths], schema, options)
+    groups = []
+    for some, own in _alike(spark, [_literal(p) for p in paths]):
+        rows = _with_file(_folder(spark.read.schema(own), options).parquet(*some))
+        groups.append(rescue_texts(rows, schema, options=options))
+    return reduce(DataFrame.unionByName, groups)
+
+
+def drain_files(
+    spark: SparkSession,
+    path: str,
+    fmt: str,
+    schema_location: str,
+    checkpoint: str,
+    write: Callable[[DataFrame, int], None],
+    name: str,
+    options: Mapping[str, str] | None = None,
+    hints: str | None = None,
+) -> T.StructType:
+    """Give the files that are new below a folder to `write`, batch by batch; returns the columns.
+
+    For CSV and Parquet the stream is one of file names, and the files of a batch are read
+    together, after their headers or footers have been looked at: Parquet files whose types
+    differ are read by their own, where they are. All a driver holds are the names of a batch,
+    `maxFilesPerTrigger` at most, and the checkpoint is the only record of what was seen.
+    A batch with a header in another order stops before any of it is written.
+    """
+    options = {"maxFilesPerTrigger": FILES_PER_BATCH, **(options or {})}
+    if fmt not in ("csv", "parquet"):
+        rows = read_file_stream(spark, path, fmt, schema_location, options, hints)
+        drain_batches(rows, write, checkpoint, name)
+        return rows.schema
+    schema = resolve_schema(spark, path, fmt, schema_location, options, hints)
+    listing = {k: v for k, v in options.items() if k.lower() in LISTING}
+    reading = {k: v for k, v in options.items() if k.lower() not in LISTING}
+    found = _folder(spark.readStream.format("binaryFile"), listing).schema(BINARY_SCHEMA).load(path)
+    found = found.filter("length > 0").select("modificationTime", "path", F.current_timestamp().alias("at"))
+
+    def read_and_write(batch: DataFrame, number: int) -> None:
+        files = sorted(batch.collect())
+        if files:
+            # By time, as files of one kind come together.
+            rows = _read_files(batch.sparkSession, [f.path for f in files], fmt, schema, reading)
+            write(rows.withColumn(METADATA[1], F.lit(files[0].at)), number)
+
+    drain_batches(found, read_and_write, checkpoint, name)
+    texts = [T.StructField(c, T.StringType()) for c in (RESCUED, METADATA[0])]
+    return T.StructType([*schema, *texts, T.StructField(METADATA[1], T.TimestampType())])

@@ -1,6 +1,6 @@
 """Draining a stream into a table."""
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 
@@ -28,3 +28,22 @@ def drain(
         .start(path)
     )
     query.awaitTermination()
+
+
+def drain_batches(
+    df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, name: str
+) -> None:
+    """Give what the stream has now to `write`, batch by batch with its number, then stop.
+
+    A batch that was cut off is given again with the same number, rows and `current_timestamp`
+    of the stream, so a `write` that replaces what it wrote for the number adds nothing twice,
+    to however many tables it writes.
+    """
+    query = (
+        df.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .queryName(name)
+        .start()
+    )
+    query.awaitTermination()

@@ -14,7 +14,7 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.operators.sinks import overwrite_table
+from lakeops.operators.sinks import BATCH, INGESTED_AT, overwrite_table
 from lakeops.sources.tables import high_mark, ingested_between, read_table
 
 UTC = dt.timezone.utc
@@ -66,6 +66,13 @@ class StateTable:
             return None
         return Run(row.run_id, row.low_mark, row.high_mark, row.run_ts)
 
+    def last_done(self) -> str | None:
+        """An id up to which all runs are done: that of the last, or the mark before an open one."""
+        row = self._row()
+        if row is None:
+            return None
+        return row.run_id if row.status == "done" else f"{row.low_mark or 0:017d}-~"
+
     def record(self, run: Run, status: str) -> None:
         row = self.spark.range(1).select(
             F.lit(run.run_id).alias("run_id"),
@@ -77,6 +84,23 @@ class StateTable:
         overwrite_table(row.coalesce(1), self.table, self.location)
 
 
+def new_rows(rows: DataFrame, low: int | None, high: int | None = None) -> DataFrame:
+    """Rows ingested after the mark `low` and up to `high`, from the partitions of those alone.
+
+    Of a table without such partitions all files are candidates.
+    """
+    if INGESTED_AT in rows.columns:
+        at = F.col(INGESTED_AT)
+        if low is not None:
+            rows = rows.filter(at > low)
+        if high is not None:
+            rows = rows.filter(at <= high)
+        rows = rows.drop(INGESTED_AT, BATCH)
+    if high is None:
+        return rows
+    return rows.filter(ingested_between(None if low is None else _mark(low), _mark(high)))
+
+
 def hand_over(
     state: StateTable,
     source: str,
@@ -93,13 +117,15 @@ def hand_over(
     run = state.unfinished()
     if run is None:
         low = state.last_mark()
-        newer = high_mark(rows, None if low is None else _mark(low))
+        newer = high_mark(new_rows(rows, low), None if low is None else _mark(low))
         high = newer.select(F.unix_micros("high_mark").alias("m")).first().m
         if high is None:
             return False
         at = (run_ts or dt.datetime.now(UTC)) - dt.datetime.fromtimestamp(0, UTC)
-        run = Run(uuid4().hex, low, high, at // dt.timedelta(microseconds=1))
+        # Ids are in the order of runs, as their marks are.
+        run_id = f"{high:017d}-{uuid4().hex[:8]}"
+        run = Run(run_id, low, high, at // dt.timedelta(microseconds=1))
         state.record(run, "started")
-    write(rows.filter(ingested_between(None if run.low is None else _mark(run.low), _mark(run.high))), run)
+    write(new_rows(rows, run.low, run.high), run)
     state.record(run, "done")
     return True

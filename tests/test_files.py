@@ -301,3 +301,105 @@ def test_unknown_format(spark, tmp_path):
 def test_empty_folder(spark, tmp_path):
     with pytest.raises(ValueError, match="no files"):
         files.infer_schema(spark, str(tmp_path), "csv")
+
+
+class Batches(Landing):
+    """The same by batches of file names."""
+
+    def ingest(self, **more):
+        f = str(self.folder)
+
+        def write(rows, batch):
+            rows.write.mode("overwrite").parquet(f"{f}/bronze/batch={batch}")
+
+        files.drain_files(
+            self.spark, f"{f}/landing", self.fmt, f"{f}/schema", f"{f}/checkpoint", write, "test",
+            self.options | more, self.hints,
+        )
+        return self.spark.read.parquet(f"{f}/bronze")
+
+
+def test_batches_of_csv_files(spark, tmp_path, rows):
+    landing = Batches(spark, tmp_path, "csv", "price double", **CSV)
+    for i in range(5):
+        landing.put(f"{i}/a [{i}] *{{x}}.csv", f"id,price\n{i},1.5\n{i},cheap\n")
+    landing.put("empty.csv", "")
+    for _ in range(2):
+        df = landing.ingest(maxFilesPerTrigger="2")
+        assert df.select("batch").distinct().count() == 3
+        got = rows(df, "id", "price", "_rescued_data")
+        assert set(got) == {(i, None, '{"price":"cheap"}') for i in range(5)} | {(i, 1.5, None) for i in range(5)}
+        assert len(got) == 10
+    landing.put("b.csv", "price,id\n2,7\n")
+    with pytest.raises(Exception, match="another order.*b.csv"):
+        landing.ingest()
+    assert landing.ingest_count() == 10
+
+
+def _count(self):
+    return self.spark.read.parquet(f"{self.folder}/bronze").count()
+
+
+Batches.ingest_count = _count
+
+
+def test_batches_of_parquet_files_of_many_types(spark, tmp_path, rows):
+    """Files that fit and files of other types in turn, some in each batch; none is written twice."""
+    landing = Batches(spark, tmp_path, "parquet", "n int")
+    types = ("int", "bigint", "string", "double")
+    for i in range(12):
+        kind = types[i % 4]
+        spark.sql(f"SELECT CAST({i} AS {kind}) AS n, 'x' AS s").write.parquet(f"{tmp_path}/landing/{i:02}")
+    for _ in range(2):
+        df = landing.ingest(maxFilesPerTrigger="5")
+        assert sorted(rows(df, "n", "s", "_rescued_data")) == [(i, "x", None) for i in range(12)]
+    spark.sql("SELECT 'many' AS n, 'y' AS s, 1 AS late").write.parquet(f"{tmp_path}/landing/z")
+    rescued = landing.ingest().filter("s = 'y'").select("n", "_rescued_data").collect()
+    assert [(r.n, json.loads(r._rescued_data)) for r in rescued] == [(None, {"n": "many", "late": "1"})]
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["bronze", "checkpoint", "landing", "schema"]
+
+
+def test_a_batch_of_files_that_is_cut_off_is_the_same_again(spark, tmp_path):
+    landing = Batches(spark, tmp_path, "csv", **CSV)
+    for i in range(4):
+        landing.put(f"{i}.csv", f"id\n{i}\n")
+    f, seen = str(tmp_path), []
+
+    def cut(rows, batch):
+        seen.append((batch, sorted(r.id for r in rows.collect()), rows.first()._ingestion_time))
+        raise OSError("driver lost")
+
+    for _ in range(2):
+        landing.put(f"late{_}.csv", "id\n9\n")
+        with pytest.raises(Exception, match="driver lost"):
+            files.drain_files(spark, f"{f}/landing", "csv", f"{f}/schema", f"{f}/checkpoint", cut, "test", CSV)
+    assert seen[0] == seen[1] and len(seen[0][1]) == 5
+    assert landing.ingest().count() == 6
+
+
+def _bytes_read(spark):
+    every = spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics()
+    return sum(s.getBytesRead() for s in every)
+
+
+def test_header_check_reads_a_bounded_part_of_a_file(spark, tmp_path):
+    read = []
+    for name, lines in (("small", 60_000), ("large", 1_200_000)):
+        path = tmp_path / f"{name}.csv"
+        path.write_text("id,price,at\n" + "1,2.5,2025-01-01 00:00:00\n" * lines)
+        before = _bytes_read(spark)
+        found = [r.line for lines in files.first_lines(spark, [str(path)]) for r in lines.collect()]
+        assert found == ["id,price,at"]
+        read.append((path.stat().st_size, _bytes_read(spark) - before))
+    (small, some), (large, part) = read
+    assert large > 15 * small > 15 * files.SMALL_FILE and part == some < 100_000
+
+
+def test_first_lines_of_many_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "SCANS_AT_ONCE", 7)
+    for i in range(30):
+        (tmp_path / f"{i}.txt").write_text(f"first {i}\nsecond\n" if i else "")
+    for limit in (1 << 20, 0):
+        monkeypatch.setattr(files, "SMALL_FILE", limit)
+        found = [r.line for x in files.first_lines(spark, [str(p) for p in tmp_path.iterdir()]) for r in x.collect()]
+        assert sorted(found) == sorted(f"first {i}" for i in range(1, 30))
