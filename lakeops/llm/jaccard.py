@@ -5,10 +5,12 @@ tokens, the first token that they share stands near the front of both: it is in
 and its places bound what they can share. A pair is compared in full only if it has such a token
 under every one of several orders.
 
-The first order makes the candidates. It puts a slice of the hash space before the rest and in it
-rare tokens before frequent ones, so counts over all documents are needed for that slice alone,
-and tokens of one document come first and meet nobody. The other orders are by hash; only the
-documents that have candidates are read again for them, and for the whole sets.
+The first orders tell which documents can have a partner at all, and who it can be. One puts a
+slice of the hash space before the rest and in it rare tokens before frequent ones, so counts over
+all documents are needed for that slice alone. Tokens of one document come first and meet nobody,
+and most documents are out. The others are read again, and counted again among themselves in full:
+that order puts all tokens of one document first, so texts that differ in many places meet no
+more. Candidates come from it, and have to pass two orders by hash before they are compared.
 
 What very many documents share is not paired with itself. Each posting list compares all its
 members with one of them, that with the fewest tokens of its own; the links found give components.
@@ -36,9 +38,9 @@ from lakeops.llm.common import stored
 from lakeops.llm.simhash import components
 
 # One part in so many of the hash space is counted and comes first in the first order.
-SLICE = 5
+SLICE = 6
 LOW = (1 << 64) // SLICE
-# Orders by hash that candidates have to pass after the first.
+# Orders by hash that candidates have to pass after those by frequency.
 SEEDS = (1, 2)
 
 
@@ -107,15 +109,17 @@ def measured(df: DataFrame, size: int, percent: int, doc_id: str, text: str) ->
     return _texts(df, doc_id, text).mapInArrow(run, schema)
 
 
-def prefixes(nodes: DataFrame, percent: int) -> DataFrame:
+def prefixes(nodes: DataFrame, percent: int, sliced: bool) -> DataFrame:
     """`token`, `node`, `n`, `at` and `own` for tokens in a prefix that two nodes at least have.
 
-    `at` is the token's place in the first order and `own` counts the tokens of no other node.
+    `nodes` have `n` tokens and are filed under those in `head`. With `sliced` the `low` tokens of
+    the slice come first, else rare ones do. `at` is the token's place in the order, and `own`
+    counts the tokens in `head` of no other node.
     """
     postings = nodes.select("node", F.explode("head").alias("token"))
     counts = postings.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
     shared = postings.join(stored(counts, "tokens"), "token")
-    high = ~F.col("token").between(0, LOW - 1)
+    high = ~F.col("token").between(0, LOW - 1) if sliced else F.lit(False)
     order = F.sort_array(F.collect_list(F.struct(high.alias("high"), "df", "token")))
     ranked = shared.groupBy("node").agg(order.alias("found"))
     ranked = ranked.join(nodes.select("node", "n", "low", F.size("head").alias("sent")), "node")
@@ -219,14 +223,18 @@ def near_sets(
     )
     nodes = stored(sets.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
-    filed = stored(prefixes(nodes, percent), "prefixes")
-    centre = F.min(F.struct("own", "node", "n", "at")).alias("c")
-    pivots = filed.groupBy("token").agg(centre, F.count("*").alias("members")).filter("members > 1")
-    pivots = stored(pivots.select("token", "c.node", "c.n", "c.at"), "pivots")
-    met = filed.join(pivots.select("token"), "token", "left_semi").select("node").distinct()
+    filed = stored(prefixes(nodes, percent, sliced=True).select("token", "node"), "prefixes")
+    lists = filed.groupBy("token").agg(F.count("*").alias("members")).filter("members > 1")
+    met = filed.join(stored(lists, "lists"), "token", "left_semi").select("node").distinct()
     candidates = stored(nodes.join(met, "node", "left_semi").select("node", "rep"), "met")
     known = stored(profiles(df, candidates, size, percent, doc_id, text), "profiles")
 
+    n = F.size("tokens").cast("long")
+    wide = known.select("node", n.alias("n"), n.alias("low"), F.col("tokens").alias("head"))
+    filed = stored(prefixes(wide, percent, sliced=False), "prefixes")
+    centre = F.min(F.struct("own", "node", "n", "at")).alias("c")
+    pivots = filed.groupBy("token").agg(centre, F.count("*").alias("members")).filter("members > 1")
+    pivots = stored(pivots.select("token", "c.node", "c.n", "c.at"), "pivots")
     first = stored(first_pairs(filed, pivots, percent), "first_pairs")
     links = stored(similar(first, known, percent), "links")
     roots = stored(components(links).select("node", "root"), "roots")
