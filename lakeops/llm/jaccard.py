@@ -25,12 +25,14 @@ another id; rows that repeat share a component; an empty table gives no rows. Id
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -152,6 +154,32 @@ def _pairs(met: DataFrame) -> DataFrame:
     return met.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
 
 
+def hopeful(filed: DataFrame, percent: int) -> DataFrame:
+    """The nodes that may be similar to another of a list they are in, by what the list has.
+
+    Lists are cut into bands of sizes, so wide that similar sets are in one or in neighbours; each
+    set is in its own and in the next. Of the others there, the one with fewest tokens and the one
+    that lets the largest set be similar to it are enough to tell. Where a node is that one
+    itself, it stays.
+    """
+    reach = (100 + percent) * (F.col("n") - F.col("at")) - percent * F.col("n")
+    width = max(math.log(100 / percent), 1e-6) * (1 + 1e-9)
+    band = F.floor(F.log("n") / width)
+    rows = filed.withColumns({"reach": reach, "band": F.explode(F.array(band, band + 1))})
+    rows = rows.withColumn("home", F.col("band") == band)
+    lists = rows.groupBy("token", "band").agg(
+        F.count("*").alias("members"),
+        F.max("home").alias("any"),
+        F.min(F.struct("n", "node")).alias("least"),
+        F.max(F.struct("reach", "node")).alias("most"),
+    )
+    lists = stored(lists.filter("members > 1 AND any").drop("members", "any"), "lists")
+    met = rows.join(lists, ["token", "band"])
+    smaller = (F.col("least.node") == F.col("node")) | (F.col("reach") >= percent * F.col("least.n"))
+    larger = (F.col("most.node") == F.col("node")) | (F.col("most.reach") >= percent * F.col("n"))
+    return met.filter(smaller & larger).select("node").distinct()
+
+
 def first_pairs(filed: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
     """Candidates of every list's pivot with the list."""
     met = filed.alias("x").join(pivots.alias("y"), F.col("x.token") == F.col("y.token"))
@@ -174,9 +202,17 @@ def other_pairs(filed: DataFrame, pivots: DataFrame, roots: DataFrame, percent:
 def profiles(df: DataFrame, nodes: DataFrame, size: int, percent: int, doc_id: str, text: str):
     """`node`, its whole `tokens`, and its prefix under each order by hash, `p0` and so on."""
 
+    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3)
+        for b in batches:
+            small = [press.compress(t.as_py()) for t in b.column("_text").cast(pa.binary())]
+            columns = [b.column("_id"), b.column("_hash"), pa.array(small, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["_id", "_hash", "_packed"])
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor()
         for b in batches:
-            sets = [shingles(t.as_py(), size) for t in b.column("_text").cast(pa.binary())]
+            sets = [shingles(unpack.decompress(t.as_py()), size) for t in b.column("_packed")]
             columns = [b.column("node"), _lists(sets)]
             for seed in SEEDS:
                 first = [
@@ -189,7 +225,9 @@ def profiles(df: DataFrame, nodes: DataFrame, size: int, percent: int, doc_id: s
     names = ["node", "tokens", *(f"p{i}" for i in range(len(SEEDS)))]
     wanted = nodes.select("node", F.col("rep._id").alias("_w"), F.col("rep._hash").alias("_x"))
     same = F.col("_id").eqNullSafe(F.col("_w")) & (F.col("_hash") == F.col("_x"))
-    rows = _texts(df, doc_id, text).join(wanted, same).select("node", "_text")
+    # Texts are compressed on their way through the shuffle.
+    packed = _texts(df, doc_id, text).mapInArrow(pack, "_id long, _hash long, _packed binary")
+    rows = packed.join(wanted, same).select("node", "_packed")
     schema = ", ".join(["node long", *(f"{c} array<long>" for c in names[1:])])
     # Rows alike in id and text are one node.
     return rows.mapInArrow(run, schema).dropDuplicates(["node"])
@@ -223,9 +261,8 @@ def near_sets(
     )
     nodes = stored(sets.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
-    filed = stored(prefixes(nodes, percent, sliced=True).select("token", "node"), "prefixes")
-    lists = filed.groupBy("token").agg(F.count("*").alias("members")).filter("members > 1")
-    met = filed.join(stored(lists, "lists"), "token", "left_semi").select("node").distinct()
+    filed = stored(prefixes(nodes, percent, sliced=True).select("token", "node", "n", "at"), "prefixes")
+    met = hopeful(filed, percent)
     candidates = stored(nodes.join(met, "node", "left_semi").select("node", "rep"), "met")
     known = stored(profiles(df, candidates, size, percent, doc_id, text), "profiles")
 
