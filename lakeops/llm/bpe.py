@@ -6,10 +6,13 @@ of the cutter; functions compose, and as only few different ones arise, each is
 composition is a table. A scan over that table, in rows of fixed length and then over the
 rows' totals, gives the state before every code point, and with it the piece starts. Pieces
 are merged by rank, with a cache that starts anew when it is full, so memory stays bounded.
+The offsets of pieces, in ids and in bytes, are kept beside the ids: decoding goes piece by
+piece, and for a range of a text it decodes only the pieces that the range meets.
 
 Defined cases: a null text is empty and has no tokens; any white space, control characters
 and unassigned code points are cut as the pattern of the vocabulary cuts them; rows that
-repeat are encoded each; an empty table gives no rows; other columns are not touched.
+repeat are encoded each; an empty table gives no rows; other columns are not touched. A range
+beyond a text's end ends with the text; one that may cut a character gives its bytes.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ import base64
 import hashlib
 import heapq
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -44,6 +48,7 @@ SHORT = "stmd"
 PAIRS = ("re", "ve", "ll")
 
 CACHE = 500_000
+DECODED = 100_000
 CHUNK = 1 << 20
 ROW = 256
 
@@ -207,6 +212,30 @@ class _Cache(dict):
         return found
 
 
+class _Decoded(dict):
+    """Bytes of pieces by their packed ids, joined when first asked for."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.tokens = tokens
+
+    def __missing__(self, ids: bytes) -> bytes:
+        if len(self) >= DECODED:
+            self.clear()
+        found = b"".join([self.tokens[i] for i in np.frombuffer(ids, "<u4").tolist()])
+        if len(found) <= 256:
+            self[ids] = found
+        return found
+
+
+@dataclass
+class Encoded:
+    """Packed ids of a text, and of each piece the place of its first id and of its first byte."""
+
+    ids: bytes
+    id_at: np.ndarray
+    byte_at: np.ndarray
+
+
 class Codec:
     """Encodes texts to packed ids and decodes them, with the ranks of one vocabulary."""
 
@@ -216,15 +245,21 @@ class Codec:
         self.tokens = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.tokens[rank] = token
+        self.decoded = _Decoded(self.tokens)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
+        return [e.ids for e in self.encode_pieces(texts)]
+
+    def encode_pieces(self, texts: list[str]) -> list[Encoded]:
+        """Ids of each text with the offsets of its pieces."""
         joined = "".join(texts)
         first = np.zeros(len(texts) + 1, np.int64)
         np.cumsum([len(t) for t in texts], out=first[1:])
         points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
         if not len(points):
-            return [b""] * len(texts)
+            none = np.zeros(0, np.int32)
+            return [Encoded(b"", none, none) for _ in texts]
         starts = piece_starts(points, np.unique(first))
         data = joined.encode()
         at = starts
@@ -235,12 +270,37 @@ class Codec:
         cache = self.cache
         ids = [cache[data[a:b]] for a, b in zip(cuts, cuts[1:])]
         bounds = np.searchsorted(starts, first).tolist()
-        return [b"".join(ids[a:b]) for a, b in zip(bounds, bounds[1:])]
+        id_at = np.cumsum([0, *map(len, ids)])[:-1] // 4
+
+        def own(at: np.ndarray, a: int, b: int) -> np.ndarray:
+            return (at[a:b] - at[a]).astype(np.int32) if a < b else np.zeros(0, np.int32)
+
+        return [
+            Encoded(b"".join(ids[a:b]), own(id_at, a, b), own(at, a, b))
+            for a, b in zip(bounds, bounds[1:])
+        ]
 
     def decode(self, ids: bytes) -> bytes:
+        """Bytes of ids whose pieces are not known."""
         tokens = self.tokens
         return b"".join([tokens[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
+    def decode_pieces(self, text: Encoded, start: int = 0, stop: int | None = None) -> bytes:
+        """Bytes `start` to `stop` of a text (to its end: None), by the pieces that hold them."""
+        start, stop = max(start, 0), None if stop is None else max(stop, 0)
+        from_ = max(int(np.searchsorted(text.byte_at, start, "right")) - 1, 0)
+        to = len(text.byte_at) if stop is None else int(np.searchsorted(text.byte_at, stop))
+        if from_ >= to:
+            return b""
+        ends = [*text.id_at[from_ + 1 : to].tolist()]
+        ends.append(int(text.id_at[to]) if to < len(text.id_at) else len(text.ids) // 4)
+        ids, decoded, a, parts = text.ids, self.decoded, int(text.id_at[from_]), []
+        for b in ends:
+            parts.append(decoded[ids[4 * a : 4 * b]])
+            a = b
+        before = int(text.byte_at[from_])
+        return b"".join(parts)[start - before : None if stop is None else stop - before]
+
 
 @lru_cache(2)
 def codec(path: str) -> Codec:
@@ -261,7 +321,8 @@ def _chunks(texts: list[str]) -> Iterator[list[str]]:
 
 
 def tokenized(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """`doc_id`, the text's bytes and its packed `ids`.
+    """`doc_id`, the packed `ids` of the text, and of its pieces the places of their first ids and
+    first bytes, `id_at` and `byte_at`.
 
     `path` is a place of the vocabulary on every executor.
     """
@@ -269,13 +330,34 @@ def tokenized(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "tex
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = codec(path)
         for b in batches:
-            ids = [x for part in _chunks(b.column("_text").to_pylist()) for x in use.encode(part)]
+            parts = _chunks(b.column("_text").to_pylist())
+            found = [x for part in parts for x in use.encode_pieces(part)]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"]
-            )
+                [b.column("doc_id"), pa.array([x.ids for x in found], pa.binary()),
+                 pa.array([x.id_at for x in found], pa.list_(pa.int32())),
+                 pa.array([x.byte_at for x in found], pa.list_(pa.int32()))],
+                ["doc_id", "ids", "id_at", "byte_at"],
+            )
 
     rows = _rows(df, doc_id, text)
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids binary")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"doc_id {kind}, ids binary, id_at array<int>, byte_at array<int>")
+
+
+def detokenized(df: DataFrame, path: str, start: int = 0, stop: int | None = None) -> DataFrame:
+    """`doc_id` and the `decoded` bytes, from `start` to `stop`, of rows that `tokenized` made."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use = codec(path)
+        for b in batches:
+            columns = (b.column("ids").to_pylist(), b.column("id_at"), b.column("byte_at"))
+            texts = [Encoded(i, x.values.to_numpy(), y.values.to_numpy()) for i, x, y in zip(*columns)]
+            out = pa.array([use.decode_pieces(t, start, stop) for t in texts], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), out], ["doc_id", "decoded"])
+
+    rows = df.select("doc_id", "ids", "id_at", "byte_at")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"doc_id {kind}, decoded binary")
 
 
 def _rows(df: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -291,10 +373,10 @@ def digests(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text"
         for b in batches:
             counts, of_ids, of_text = [], [], []
             for part in _chunks(b.column("_text").to_pylist()):
-                for ids in use.encode(part):
-                    counts.append(len(ids) // 4)
-                    of_ids.append(hashlib.sha256(ids).hexdigest())
-                    of_text.append(hashlib.sha256(use.decode(ids)).hexdigest())
+                for found in use.encode_pieces(part):
+                    counts.append(len(found.ids) // 4)
+                    of_ids.append(hashlib.sha256(found.ids).hexdigest())
+                    of_text.append(hashlib.sha256(use.decode_pieces(found)).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()),
                  pa.array(of_text, pa.string())],

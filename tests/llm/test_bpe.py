@@ -4,6 +4,7 @@ import brute
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
 from conftest import bag, texts_of
 
@@ -56,6 +57,43 @@ def test_mixtures(codec, library):
     assert all(codec.decode(x) == t.encode() for t, x in zip(texts, found))
 
 
+def test_offsets_of_pieces(codec, library):
+    pattern = regex.compile(public_tokenizers.PATTERN)
+    texts = ["", "It's  1st\n\n日本 été!", "", "  a", "x" * 700 + " y" * 40]
+    for text, found in zip(texts, codec.encode_pieces(texts)):
+        pieces = [m[0] for m in pattern.finditer(text)]
+        ids, places = [0], [0]
+        for p in pieces:
+            ids.append(ids[-1] + len(library.encode_ordinary(p)))
+            places.append(places[-1] + len(p.encode()))
+        assert (found.id_at.tolist(), found.byte_at.tolist()) == (ids[:-1], places[:-1])
+
+
+def test_ranges_are_decoded_by_their_pieces(codec, monkeypatch):
+    monkeypatch.setattr(bpe, "DECODED", 3)
+    draw = random.Random(5)
+    texts = ["", "one", "It's  1st\n\n日本 été! " * 20, "ab" * 900]
+    for text, found in zip(texts, codec.encode_pieces(texts)):
+        data = text.encode()
+        assert codec.decode_pieces(found) == data
+        for _ in range(200):
+            a, b = draw.randint(0, len(data) + 5), draw.randint(0, len(data) + 5)
+            assert codec.decode_pieces(found, a, b) == data[a:b]
+            assert codec.decode_pieces(found, a) == data[a:]
+    found = codec.encode_pieces(["a b c d e f g h"])[0]
+    codec.decoded.clear()
+    assert codec.decode_pieces(found, 4, 5) == b"c" and len(codec.decoded) == 1
+
+
+def test_tables_are_decoded_by_offsets(awkward, no_documents):
+    tokens = bpe.tokenized(awkward, PATH)
+    expected = brute.ordered((d, (t or "").encode()) for d, t in texts_of(awkward))
+    assert brute.ordered((r[0], bytes(r[1])) for r in bpe.detokenized(tokens, PATH).collect()) == expected
+    part = bpe.detokenized(tokens, PATH, 2, 9).collect()
+    assert brute.ordered((r[0], bytes(r[1])) for r in part) == brute.ordered((d, t[2:9]) for d, t in expected)
+    assert bpe.detokenized(bpe.tokenized(no_documents, PATH), PATH).count() == 0
+
+
 def test_long_pieces_and_a_full_cache(codec, library, monkeypatch):
     monkeypatch.setattr(bpe, "CACHE", 5)
     texts = ["x" * 5000, "ab" * 20000, "y'" * 3000, "a b c d e f g h i j k l m n o p"]
