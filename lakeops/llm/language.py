@@ -7,8 +7,8 @@ log2((n + u) / c) bits, an escape log2((n + u) / u); with no context left a byte
 The language with the shortest code wins. Statistics are frozen before any text is scored.
 
 All labelled training texts are counted, by partial sums per language and context, and every
-count is used. Beyond `ORDER` 1, the `CONTEXTS` most frequent contexts of each order are held
-in memory: laid over one set of contexts, the code lengths of all languages for a context and a
+count is used. The `CONTEXTS` most frequent contexts of each order are held in memory, fewer if
+there are so many languages that their table would pass `MODEL_BYTES`: laid over one set of contexts, the code lengths of all languages for a context and a
 byte are one row of a table, and scoring is a walk down the contexts and a look-up per byte.
 The other contexts stay in written tables that grow with the corpus. Bytes behind one of them,
 which a bit per possible context tells, are counted per text and meet the tables in joins; the
@@ -36,6 +36,7 @@ from lakeops.llm.common import stored
 
 ORDER = 3
 CONTEXTS = 4096
+MODEL_BYTES = 1 << 28
 # Fractions of a bit in which the joins count.
 UNIT = 1 << 24
 UNKNOWN = "und"
@@ -164,10 +165,21 @@ class Learnt:
     counts: DataFrame | None
 
 
-def _contexts(counts: DataFrame, order: int) -> DataFrame:
+def held_contexts(languages: int) -> list[int]:
+    """How many contexts of each order from 1 up are held in memory, the shorter ones first; a
+    context has 256 code lengths of four bytes in each language."""
+    left = max(MODEL_BYTES // (1024 * languages) - 1, 0)
+    out = []
+    for order in range(1, ORDER + 1):
+        share = left if order == 1 else left // (ORDER + 1 - order)
+        out.append(min(256 if order == 1 else CONTEXTS, share))
+        left -= out[-1]
+    return out
+
+
+def _contexts(counts: DataFrame, order: int, limit: int) -> DataFrame:
     """The kept contexts of an order: `context` and how often any byte follows."""
     own = counts.filter(F.col("order") == order).groupBy("context").agg(F.sum("n").alias("n"))
-    limit = 256 if order == 1 else CONTEXTS
     return own.orderBy(F.desc("n"), "context").limit(limit)
 
 
@@ -237,9 +249,9 @@ def learn(df: DataFrame, lang: str = "lang", text: str = "text") -> Learnt | Non
     maps: list[np.ndarray] = []
     numbers: list[dict[int, int]] = [{0: 0}]
     total = 1
-    for order in range(1, ORDER + 1):
+    for order, limit in enumerate(held_contexts(len(languages)), 1):
         known = numbers[-1]
-        kept = sorted(r["context"] for r in _contexts(counts, order).collect())
+        kept = sorted(r["context"] for r in _contexts(counts, order, limit).collect())
         kept = [c for c in kept if (c & ((1 << 8 * (order - 1)) - 1)) in known]
         step = np.zeros((total, 256), np.int32)
         numbers.append({})

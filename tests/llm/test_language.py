@@ -78,8 +78,11 @@ def test_no_more_contexts_than_the_bound(documents, monkeypatch):
     assert model.bits.shape[1] <= (1 + 256 + 2 * 50) * 256
 
 
-def test_exact_code_lengths_of_more_contexts_than_are_held(spark):
-    """One language fills the list of held contexts many times over; another has a few texts."""
+@pytest.mark.parametrize("limit", [language.MODEL_BYTES, 3 * 1024 * 30])
+def test_exact_code_lengths_of_more_contexts_than_are_held(spark, monkeypatch, limit):
+    """One language fills the list of held contexts many times over; another has a few texts.
+    With the lower limit not even the contexts of one byte are all held."""
+    monkeypatch.setattr(language, "MODEL_BYTES", limit)
     draw = random.Random(9)
     many = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOP äöü", k=300)) for _ in range(250)]
     few = {"yy": ["le chat est dans la maison", "la maison du chat"], "zz": ["кот дома", "дом кота и кот"]}
@@ -87,6 +90,7 @@ def test_exact_code_lengths_of_more_contexts_than_are_held(spark):
     learnt = language.learn(spark.createDataFrame(rows, "text string, lang string"))
     held = {c for t in many for c in zip(t.encode(), t.encode()[1:], t.encode()[2:])}
     assert len(held) > 5 * language.CONTEXTS and learnt.counts.count() > 0
+    assert learnt.model.bits.nbytes <= limit
     texts = [*many[:3], *few["yy"], *few["zz"], "кот est zz", "a", "äü la дом" * 30, many[5][:50] * 2]
     df = spark.createDataFrame(list(enumerate(texts)), "i long, _text string").repartition(3)
     found = {r["i"]: r["bits"] for r in language.code_lengths(learnt, df).collect()}
@@ -98,6 +102,13 @@ def test_exact_code_lengths_of_more_contexts_than_are_held(spark):
         assert [found[i][n] for i in range(len(texts))] == pytest.approx(expected, rel=1e-5)
 
 
+def test_model_is_bounded_for_any_number_of_languages():
+    assert language.held_contexts(4) == [256, language.CONTEXTS, language.CONTEXTS]
+    for n in (1, 100, 1000, 5000, 1 << 18):
+        assert 1024 * n * (1 + sum(language.held_contexts(n))) <= language.MODEL_BYTES
+    assert language.held_contexts(1 << 20) == [0, 0, 0]
+
+
 def test_held_contexts_change_no_prediction(documents, monkeypatch):
     every = {r["doc_id"]: r for r in language.predictions(documents).collect()}
     monkeypatch.setattr(language, "CONTEXTS", 50)
