@@ -131,6 +131,17 @@ def with_hints(schema: T.StructType, hints: str | None) -> T.StructType:
     )
 
 
+# Mark of a column that only the hints name.
+HINTED_ONLY = "hinted_only"
+
+
+def _marked(schema: T.StructType, inferred: T.StructType) -> T.StructType:
+    """The schema with a mark on the columns that were not inferred."""
+    there = {f.name.lower() for f in inferred}
+    marks = [{} if f.name.lower() in there else {HINTED_ONLY: True} for f in schema]
+    return T.StructType([T.StructField(f.name, f.dataType, True, m) for f, m in zip(schema, marks)])
+
+
 def load_schema(spark: SparkSession, location: str) -> T.StructType | None:
     """The schema kept at a location, if any."""
     try:
@@ -155,10 +166,16 @@ def resolve_schema(
     options: Mapping[str, str] | None = None,
     hints: str | None = None,
 ) -> T.StructType:
-    """Infer once, overlay the hints, keep the result and use it on later runs."""
+    """Infer once, overlay the hints, keep the result and use it on later runs.
+
+    Columns of CSV files go by their place, so those that only the hints name are marked.
+    """
     schema = load_schema(spark, location)
     if schema is None:
-        schema = with_hints(infer_schema(spark, path, fmt, options), hints)
+        inferred = infer_schema(spark, path, fmt, options)
+        schema = with_hints(inferred, hints)
+        if fmt == "csv":
+            schema = _marked(schema, inferred)
         save_schema(spark, schema, location)
     return schema
 
@@ -495,7 +512,17 @@ def stored_schema(
     return found, other
 
 
+def _has_fields_of(n: int, options: Mapping[str, str]) -> Column:
+    """Whether a line that does not fit the reader's schema has just `n` fields."""
+    csv = {k: v for k, v in options.items() if k.lower() not in ("header", "mode")}
+    csv |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_LINE}
+    ddl = ", ".join([*(f"c{i} string" for i in range(n)), f"{BAD_LINE} string"])
+    return F.from_csv(BAD_LINE, ddl, csv).getField(BAD_LINE).isNull()
+
+
 def _csv_rows(reader, path: str | list[str], schema: T.StructType, options: Mapping[str, str]):
+    """Lines of CSV files as the schema has them. Columns that only the hints name come last, and
+    a line that ends before them is whole: files need not have them."""
     texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
     lines = _with_file(
         _folder(reader.format("csv"), options)
@@ -504,6 +531,10 @@ def _csv_rows(reader, path: str | list[str], schema: T.StructType, options: Mapp
         .schema(texts.add(BAD_LINE, T.StringType()))
         .load(path)
     )
+    own = [f for f in schema if HINTED_ONLY not in f.metadata]
+    if len(own) < len(schema.fields):
+        bad = F.col(BAD_LINE)
+        lines = lines.withColumn(BAD_LINE, F.when(bad.isNotNull() & ~_has_fields_of(len(own), options), bad))
     return rescue_texts(lines, schema, BAD_LINE, options)
 
 

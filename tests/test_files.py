@@ -336,6 +336,21 @@ def test_batches_of_csv_files(spark, tmp_path, rows):
     assert landing.ingest_count() == 10
 
 
+@pytest.mark.parametrize("kind", [Landing, Batches])
+def test_csv_lines_need_not_have_a_column_that_only_a_hint_names(spark, tmp_path, kind, rows):
+    landing = kind(spark, tmp_path, "csv", "price double, cost double", **CSV)
+    landing.put("a.csv", "id,price\n1,1.5\n2,cheap\n3\n4,2\n")
+    landing.ingest()
+    landing.put("b.csv", "id,price,cost\n8,2.5,7.5\n9,2.5,low\n10,2.5,7.5,more\n11,2.5\n")
+    got = rows(landing.ingest(), "id", "price", "cost", "_rescued_data")
+    rescued = {r[0]: json.loads(r[3]) for r in got if r[3]}
+    assert rescued[2] == {"price": "cheap"} and rescued[3] == {"_corrupt_record": "3"}
+    assert rescued[9] == {"cost": "low"} and rescued[10] == {"_corrupt_record": "10,2.5,7.5,more"}
+    values = {r[0]: r[1:3] for r in got}
+    assert values[1] == (1.5, None) and values[8] == (2.5, 7.5) and values[11] == (2.5, None)
+    assert not {1, 8, 11} & set(rescued)
+
+
 def _count(self):
     return self.spark.read.parquet(f"{self.folder}/bronze").count()
 

@@ -137,6 +137,24 @@ def test_inventory(spark, lake, tmp_path, rows):
     assert rows(df, "_c0", "_rescued_data")[3] == (3, '{"stock_quantity":"many"}')
 
 
+def test_inventory_without_a_hinted_column_keeps_no_line_twice(spark, lake, tmp_path, rows):
+    lines = [line.split(",") for line in INVENTORY.strip().split("\n")]
+    text = "\n".join(",".join(f for i, f in enumerate(fields) if i != 5) for fields in lines)
+    put(tmp_path, "internal_system/inventory", "a.csv", text)
+    lake.ingest("inventory")
+    lake.process("inventory", RUN)
+    df = read_table(spark, lake.table("silver", "inventory"))
+    assert rows(df, "_c0", "stock_quantity", "purchase_price", "_rescued_data") == [
+        (0, 10.0, None, None),
+        (1, 15.0, None, None),
+        (2, 20.0, None, None),
+        (3, None, None, '{"stock_quantity":"many"}'),
+    ]
+    for folder in ("bronze", "silver"):
+        files = list(tmp_path.glob(f"**/{folder}/internal_system/inventory/**/part-*.parquet"))
+        assert files and all(f.name.endswith(".zstd.parquet") for f in files)
+
+
 def test_a_second_file_is_processed_alone(spark, lake, tmp_path, rows):
     put_climate(tmp_path, "a.json", [(0, 10.0)])
     lake.ingest("climate")
